@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, token_counts, url_filters
+from . import bpe, chat, quality, token_counts, url_filters
 
 QUERIES = {
     "op5_token_counts": token_counts.op5_token_counts,
     "op7_chat_formatting": chat.op7_chat_formatting,
     "op8_bpe": bpe.op8_bpe,
+    "op9_quality_classifier": quality.op9_quality_classifier,
     "op10_url_filters": url_filters.op10_url_filters,
 }
 ORACLE_SQL = {
