@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, quality, token_counts, url_filters
+from . import bpe, chat, decontaminate, quality, token_counts, url_filters
 
 QUERIES = {
     "op5_token_counts": token_counts.op5_token_counts,
+    "op6_decontamination": decontaminate.op6_decontamination,
     "op7_chat_formatting": chat.op7_chat_formatting,
     "op8_bpe": bpe.op8_bpe,
     "op9_quality_classifier": quality.op9_quality_classifier,
