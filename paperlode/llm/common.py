@@ -41,6 +41,8 @@ def saved(df: DataFrame, tag: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/paperlode/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    # Spark removes the shuffle files of finished jobs once the driver has collected their garbage
+    spark._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
