@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, decontaminate, lines, near_dedup, quality, token_counts, url_filters
+from . import bpe, chat, decontaminate, lines, near_dedup, pii, quality, token_counts, url_filters
 
 QUERIES = {
     "op2_near_dedup": near_dedup.op2_near_dedup,
     "op3_line_dedup": lines.op3_line_dedup,
+    "op4_pii": pii.op4_pii,
     "op5_token_counts": token_counts.op5_token_counts,
     "op6_decontamination": decontaminate.op6_decontamination,
     "op7_chat_formatting": chat.op7_chat_formatting,
