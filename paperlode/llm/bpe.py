@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import slices, table
 
@@ -226,14 +227,16 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
 
 def digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """doc_id, n_tokens and the SHA-256 of ids and decoded bytes of every row."""
-    from pyspark.sql import functions as F
-
     return encode(docs, ranks_path, pattern).select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )
 
 
-def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return digests(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stage(spark, table(spark, sf_dir, "documents"), sf_dir)

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, decontaminate, lines, near_dedup, pii, quality, token_counts, url_filters
+from . import bpe, chat, decontaminate, lines, near_dedup, pii, quality, token_counts, topk, url_filters
 
 QUERIES = {
+    "op1_top_k": topk.op1_top_k,
     "op2_near_dedup": near_dedup.op2_near_dedup,
     "op3_line_dedup": lines.op3_line_dedup,
     "op4_pii": pii.op4_pii,
@@ -16,6 +17,7 @@ QUERIES = {
     "op10_url_filters": url_filters.op10_url_filters,
 }
 ORACLE_SQL = {
+    "op1_top_k": topk.SQL,
     "op7_chat_formatting": chat.SQL,
     "op10_url_filters": url_filters.SQL,
 }
