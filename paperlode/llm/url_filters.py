@@ -30,8 +30,9 @@ RULES = [
     ("block", "net", "/fr/"),
 ]
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Rows of one host that one sweep takes; a host with more is dealt to several sweeps.
-ROWS_PER_SWEEP = 100_000
+#: Rows of one host that one sweep takes at least; a host with more is dealt to several sweeps,
+#: each with as many rows as the host has rules, so that copies of rules are never more than rows.
+ROWS_PER_SWEEP = 1_000
 
 
 def url_host(url: Column) -> Column:
@@ -94,7 +95,8 @@ def judge(urls: DataFrame, rules: DataFrame, url_col: str = "url", default: str
         .select("host", "url_path", F.array_join(F.slice("labels", F.lit(1), F.col("depth")), ".").alias("rev"))
         .join(rules.select("rev").distinct(), "rev", "left_semi")
     )
-    sweeps = levels.groupBy("rev").agg(F.ceil(F.count("*") / ROWS_PER_SWEEP).cast("int").alias("sweeps"))
+    sizes = levels.groupBy("rev").agg(F.count("*").alias("n")).join(rules.groupBy("rev").agg(F.count("*").alias("n_rules")), "rev")
+    sweeps = sizes.select("rev", F.ceil(F.col("n") / F.greatest(F.lit(ROWS_PER_SWEEP), "n_rules")).cast("int").alias("sweeps"))
     rows = levels.join(sweeps, "rev").select(
         "rev", F.pmod(F.xxhash64("host", "url_path"), F.col("sweeps")).cast("int").alias("salt"),
         F.col("url_path").alias("path"), "host", "url_path", F.lit(None).cast("string").alias("action"),
