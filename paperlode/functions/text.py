@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from . import patterns
 
@@ -29,7 +30,7 @@ def collapse(c: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(c, r"(?U)\s+", " "), "^ | $", "")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _nfkc(texts: pd.Series) -> pd.Series:
     return texts.map(lambda x: None if x is None else unicodedata.normalize("NFKC", x))
 
