@@ -29,7 +29,7 @@ from .common import saved, table
 
 K, EVERY, SCALE = 5, 50, 256
 #: Rows of an index block, queries of a query block, and groups that one query block is dealt to.
-ROWS, QUERIES, SALTS = 4096, 256, 16
+ROWS, QUERIES, SALTS = 32768, 256, 16
 #: Names of query blocks (12 bytes each) that are broadcast; more are joined by shuffling.
 NAMES = 1_000_000
 
@@ -46,7 +46,6 @@ class Slices:
     def __init__(self, rows: np.ndarray):
         self.n, self.dims = rows.shape
         self.low = rows.min(axis=0)
-        self.low_sum = self.low.astype(object)
         shifted = (rows - self.low).astype(np.uint64)
         self.digits = [int(x).bit_length() for x in shifted.max(axis=0)]
         self.bytes = -(-self.n // 64) * 8
@@ -81,17 +80,17 @@ class Slices:
         while at < len(columns):
             todo = columns[at]
             up: list[np.ndarray] = []
-            while len(todo) >= 3:  # a full adder takes three bitmaps of a digit to one, and one of the next
-                a, b, c = todo.pop(), todo.pop(), todo.pop()
-                x = a ^ b
-                up.append((a & b) | (x & c))
+            held = todo[0] if todo else None
+            for i in range(1, len(todo) - 1, 2):  # a full adder takes three bitmaps of a digit to one, and one of the next
+                b, c = todo[i], todo[i + 1]
+                x = held ^ b
+                up.append((held & b) | (x & c))
                 x ^= c
-                todo.insert(0, x)
-            if len(todo) == 2:
-                a, b = todo
-                up.append(a & b)
-                todo = [a ^ b]
-            out.append(todo[0] if todo else None)
+                held = x
+            if len(todo) % 2 == 0 and todo:
+                up.append(held & todo[-1])
+                held = held ^ todo[-1]
+            out.append(held)
             if up:
                 if at + 1 == len(columns):
                     columns.append([])
@@ -127,7 +126,7 @@ class Slices:
 
 
 def _packed(vectors: DataFrame, size: int) -> DataFrame:
-    """Rows (id, vector) of each partition in blocks: block (unique), ids and values (int32) as bytes."""
+    """Rows (id, vector) of each partition in blocks: block (unique), ids and values (int16 where they fit, or int32) as bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[tuple[int, list[int]]]] = {}  # by dimension
@@ -136,6 +135,8 @@ def _packed(vectors: DataFrame, size: int) -> DataFrame:
             rows.sort(key=lambda r: r[0])
             ids = np.array([i for i, _ in rows], "<i8")
             values = np.array([v for _, v in rows], "<i4")
+            if abs(values).max(initial=0) < 1 << 15:
+                values = values.astype("<i2")
             return pa.RecordBatch.from_arrays([pa.array([values.shape[1]], pa.int32()), pa.array([ids.tobytes()], pa.binary()), pa.array([values.tobytes()], pa.binary())], ["dims", "ids", "values"])
 
         for batch in batches:
@@ -150,6 +151,10 @@ def _packed(vectors: DataFrame, size: int) -> DataFrame:
     return vectors.mapInArrow(run, "dims int, ids binary, values binary")
 
 
+def _matrix(values: bytes, n: int, dims: int) -> np.ndarray:
+    return np.frombuffer(values, f"<i{len(values) // (n * dims)}").reshape(n, dims).astype(np.int64)
+
+
 def top_k(rows: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     """query_id, rank (from 1), id and score of the k best rows for each query.
 
@@ -159,7 +164,8 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     n_queries = queries.count()
     ask = _packed(queries.repartition(max(1, -(-n_queries // QUERIES)), F.xxhash64("id")), QUERIES)
     ask = saved(ask.withColumn("block", F.xxhash64("ids", "values")), "queries")
-    index = saved(_packed(rows, ROWS), "index")
+    n_rows = rows.count()
+    index = saved(_packed(rows.repartition(max(1, -(-n_rows // ROWS)), F.xxhash64("id", "vector")), ROWS), "index")
     # each query block is dealt to SALTS groups of index blocks
     n_blocks = ask.count()
     left = index.select("dims", F.col("ids").alias("row_ids"), F.col("values").alias("row_values"), F.pmod(F.xxhash64("ids"), F.lit(SALTS)).cast("int").alias("salt"))
@@ -175,16 +181,16 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
         for batch in batches:
             for r in batch.to_pylist():
                 row_ids, ids = np.frombuffer(r["row_ids"], "<i8"), np.frombuffer(r["ids"], "<i8")
-                index_ = Slices(np.frombuffer(r["row_values"], "<i4").reshape(len(row_ids), r["dims"]).astype(np.int64))
+                index_ = Slices(_matrix(r["row_values"], len(row_ids), r["dims"]))
                 out: list[tuple[int, int, int]] = []
-                for q, v in zip(ids.tolist(), np.frombuffer(r["values"], "<i4").reshape(len(ids), r["dims"])):
+                for q, v in zip(ids.tolist(), _matrix(r["values"], len(ids), r["dims"])):
                     lo, hi = np.searchsorted(row_ids, [q, q + 1])
                     without = None
                     if hi > lo:
                         own = np.zeros(len(row_ids), bool)
                         own[lo:hi] = True
                         without = index_._bitmap(own)
-                    at, scores = index_.best(v.astype(np.int64), k, without)
+                    at, scores = index_.best(v, k, without)
                     out += [(q, i, s) for i, s in zip(row_ids[at].tolist(), scores)]
                 yield pa.RecordBatch.from_arrays([pa.array(list(x), pa.int64()) for x in zip(*out)] if out else [pa.array([], pa.int64())] * 3, ["query_id", "id", "score"])
 
