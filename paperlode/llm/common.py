@@ -6,7 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _local_dirs: dict[str, str] = {}
+_scopes: list[list[str]] = []
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,11 +42,29 @@ def saved(df: DataFrame, tag: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/paperlode/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if _scopes:
+        _scopes[-1].append(path)
     # Spark removes the shuffle files of finished jobs once the driver has collected their garbage
     spark._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
+def distilled(spark: SparkSession, tag: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """The saved result of build; tables that were saved on the way to it are deleted."""
+    _scopes.append([])
+    try:
+        df = build()
+        inner = _scopes.pop()
+    except BaseException:
+        _scopes.pop()
+        raise
+    out = saved(df, tag)
+    for path in inner:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    return out
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 

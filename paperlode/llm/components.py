@@ -21,10 +21,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved, shuffle_partitions
+from .common import distilled, saved, shuffle_partitions
 
 #: Nodes of one bucket that are held in memory at a time are about twice this number.
-BLOCK = 128
+BLOCK = 512
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -79,13 +79,19 @@ class Union:
         self.up[self.root(i)] = self.root(j)
 
 
-def _tested(pairs: DataFrame, test: Callable[[bytes, bytes], bool]) -> DataFrame:
+def _tested(pairs: DataFrame, prepare: Callable, test: Callable) -> DataFrame:
     """a and b of the pairs (a, b, payload_a, payload_b) that pass."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, ready = None, None  # pairs of one b mostly follow one another
         for batch in batches:
             a, b, x, y = batch.columns
-            ok = pa.array([test(p.as_buffer(), q.as_buffer()) for p, q in zip(x, y)], pa.bool_())
+            passed = []
+            for p, q in zip(x.to_pylist(), y.to_pylist()):
+                if q != last:
+                    last, ready = q, prepare(q)
+                passed.append(test(prepare(p), ready))
+            ok = pa.array(passed, pa.bool_())
             yield pa.RecordBatch.from_arrays([a.filter(ok), b.filter(ok)], ["a", "b"])
 
     return pairs.select("a", "b", "payload_a", "payload_b").mapInArrow(run, "a binary, b binary")
@@ -106,61 +112,78 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, list[dic
         yield key, rows
 
 
-def _within_blocks(test: Callable[[bytes, bytes], bool]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _within_blocks(prepare: Callable, test: Callable) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (bucket, i, j), rows in _groups(batches):
+            n = len(rows)
             place: dict[bytes, int] = {}
-            union = Union(len(rows))
-            for n, r in enumerate(rows):
-                union.join(n, place.setdefault(r["root"], n))
+            union = Union(n)
+            for k, r in enumerate(rows):
+                union.join(k, place.setdefault(r["root"], k))
             bands = np.array([r["bands"] for r in rows], np.int64)
             at = int(np.flatnonzero(bands[0] == bucket)[0])
-            earlier = bands[:, :at]
+            own, hub = np.array([r["own"] for r in rows]), np.array([r["hub"] for r in rows])
+            ready: list = [None] * n
             links = []
-            own = np.array([r["own"] for r in rows])
-            for n in range(len(rows)):
-                # a pair that shares an earlier bucket is worked on there
-                todo = ~(earlier[:n] == earlier[n]).any(axis=1) & ((own[:n] != own[n]) | (i == j))
-                for m in np.flatnonzero(todo):
-                    if union.root(m) != union.root(n) and test(rows[m]["payload"], rows[n]["payload"]):
-                        union.join(m, n)
-                        links.append((rows[m]["node"], rows[n]["node"]))
+            for k in range(n):
+                if hub[k]:
+                    continue  # tested against all of the bucket before
+                todo = ~hub[:k]
+                if i != j:
+                    todo &= own[:k] != own[k]
+                todo = np.flatnonzero(todo)
+                if at and len(todo):  # a pair that shares an earlier bucket is worked on there
+                    todo = todo[~(bands[todo, :at] == bands[k, :at]).any(axis=1)]
+                for m in todo.tolist():
+                    if union.root(m) != union.root(k):
+                        for x in (m, k):
+                            if ready[x] is None:
+                                ready[x] = prepare(rows[x]["payload"])
+                        if test(ready[m], ready[k]):
+                            union.join(m, k)
+                            links.append((rows[m]["node"], rows[k]["node"]))
             if links:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in zip(*links)], ["a", "b"])
 
     return run
 
 
-def near_components(sketches: DataFrame, payloads: Callable[[DataFrame], DataFrame], test: Callable[[bytes, bytes], bool]) -> DataFrame:
+def near_components(sketches: DataFrame, payloads: Callable[[DataFrame], DataFrame], prepare: Callable, test: Callable) -> DataFrame:
     """node and root of every node that is linked to another.
 
     sketches: node (binary key) and bands (array of as many 64-bit buckets for each node), one row
     a node; nodes with null bands stay alone. payloads: gives node and payload (binary) for the
-    nodes of a DataFrame of nodes. test: whether two payloads are near duplicates.
+    nodes of a DataFrame of nodes. prepare: makes a payload ready for tests. test: whether two that
+    are ready are near duplicates.
     """
+    return distilled(sketches.sparkSession, "roots", lambda: _near_components(sketches, payloads, prepare, test))
+
+
+def _near_components(sketches: DataFrame, payloads: Callable[[DataFrame], DataFrame], prepare: Callable, test: Callable) -> DataFrame:
     parts = shuffle_partitions(sketches.sparkSession)
     short = F.xxhash64("node")
     spread = sketches.where("bands is not null").select(short.alias("id"), F.explode("bands").alias("bucket"))
-    shared = spread.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    members = saved(spread.join(shared, "bucket").select("bucket", "id"), "members")
-    hubs = members.groupBy("bucket").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
+    shared = spread.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
+    # the hash table is of the few shared buckets in a partition, so that the many rows need no sort
+    members = saved(spread.join(shared.hint("shuffle_hash"), "bucket").select("bucket", "id"), "members")
+    hubs = members.groupBy("bucket").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count("*").alias("n"))
     pairs = members.join(hubs, "bucket").select("id", F.explode(F.array("lo", "hi")).alias("hub")).where("id <> hub")
     pairs = saved(pairs.select(F.least("id", "hub").alias("id"), F.greatest("id", "hub").alias("hub")).distinct(), "pairs")
     # ids are short; should two nodes ever have the same one, each of them is tested
     ids = pairs.select("id").union(pairs.select("hub")).distinct()
-    involved = sketches.where("bands is not null").select("node", "bands", short.alias("id")).join(ids, "id", "left_semi")
+    involved = saved(sketches.where("bands is not null").select("node", "bands", short.alias("id")).join(ids, "id", "left_semi"), "involved")
     held = saved(payloads(involved.select("node")).join(involved, "node").select("id", "node", "bands", "payload"), "payloads")
     sides = [held.select(F.col("id").alias(k), F.col("node").alias(n), F.col("payload").alias(f"payload_{n}")) for k, n in (("id", "a"), ("hub", "b"))]
-    links = saved(_tested(pairs.join(sides[0], "id").join(sides[1], "hub"), test), "links")
+    links = saved(_tested(pairs.join(sides[0], "id").join(sides[1], "hub"), prepare, test), "links")
     joined = connected_components(links)
     # what is left: buckets with nodes of different components, of which some pairs were not tested
     names = held.select("id", "node").join(joined, "node", "left").select("id", F.coalesce("root", "node").alias("root"))
-    roots = members.join(names, "id").select("bucket", "id", "root")
+    roots = members.join(hubs.where("n > 3"), "bucket").select("bucket", "id", F.col("id").isin(F.col("lo"), F.col("hi")).alias("hub")).join(names, "id")
     mixed = roots.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n"))
-    mixed = mixed.where("lo <> hi and n > 2").select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    mixed = mixed.where("lo <> hi").select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
     left = roots.join(mixed, "bucket").withColumn("own", F.pmod(F.xxhash64("id", F.lit(7)), F.col("blocks")).cast("int"))
-    left = left.select("bucket", "id", "root", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    left = left.join(held, "id").select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "root", "bands", "payload")
+    left = left.select("bucket", "id", "root", "hub", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    left = left.join(held, "id").select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "hub", "node", "root", "bands", "payload")
     left = left.repartition(parts, "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "node")
-    more = left.mapInArrow(_within_blocks(test), "a binary, b binary")
+    more = left.mapInArrow(_within_blocks(prepare, test), "a binary, b binary")
     return connected_components(links.union(saved(more, "links")))

@@ -127,7 +127,7 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         again = _exploded(texts, "id", "text", "payload").select("doc", "line", "payload")
         return again.join(need, ["doc", "line"]).select("node", "payload").dropDuplicates(["node"])
 
-    roots = saved(near_components(nodes.select("node", "bands"), payloads, alike), "roots")
+    roots = saved(near_components(nodes.select("node", "bands"), payloads, bytes, alike), "roots")
     keeper = nodes.join(roots, "node").groupBy("root").agg(F.min("first").alias("stays"))
     linked = roots.join(keeper, "root").select("node", "stays")
     fate = nodes.join(linked, "node", "left").where("n > 1 or stays is not null").select("node", F.coalesce("stays", "first").alias("stays"))

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import saved, slices, table, text_key
+from .common import distilled, saved, slices, table, text_key
 from .components import near_components
 from .words import BASE, lowered_words, mix, windows
 
@@ -119,9 +119,12 @@ def aligned(a: list[int], b: list[int], band: int) -> int:
     return done + width - v.bit_count()
 
 
-def near(x: bytes, y: bytes) -> bool:
+def codes_of(payload: bytes) -> np.ndarray:
+    return np.frombuffer(payload, "<u4")
+
+
+def near(a: np.ndarray, b: np.ndarray) -> bool:
     """Whether two sequences of 32-bit codes are similar enough."""
-    a, b = np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4")
     if len(a) > len(b):
         a, b = b, a
     need = -(-4 * (len(a) + len(b)) // 9)
@@ -177,6 +180,10 @@ def _codes(rows: DataFrame) -> DataFrame:
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    return distilled(docs.sparkSession, "classes", lambda: _classes(docs, id_col, text_col))
+
+
+def _classes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """For every different text of docs: node, class_id, least (its own least id), n_least (rows
     that have it) and keeper (whether it is the one text of its class that stays)."""
     sketches = saved(sketched(docs, id_col, text_col), "sketches")
@@ -192,7 +199,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         rows = texts.join(reps, (texts.key == reps.node) & texts.id.eqNullSafe(reps.least)).select("node", "text")
         return _codes(rows).dropDuplicates(["node"])
 
-    roots = near_components(distinct, payloads, near)
+    roots = near_components(distinct, payloads, codes_of, near)
     best = roots.join(nodes, "node").groupBy("root").agg(F.min(F.struct(F.col("least").isNull(), "least", "node")).alias("best"))
     linked = roots.join(best, "root").select("node", F.col("best.least").alias("linked_id"), F.col("best.node").alias("stays"))
     out = nodes.join(linked, "node", "left")
@@ -201,7 +208,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id_col and class_id of every row."""
-    found = saved(classes(docs, id_col, text_col), "classes")
+    found = classes(docs, id_col, text_col)
     keys = docs.select(docs[id_col], _row_key(docs[text_col]).alias("node"))
     return keys.join(found, "node").select(id_col, "class_id")
 
@@ -212,7 +219,7 @@ def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of docs for each class: that of least doc_id, which may be null, and text key."""
-    found = saved(classes(docs.select("doc_id", "text")), "classes")
+    found = classes(docs.select("doc_id", "text"))
     kept = found.where("keeper")
     key = _row_key(docs["text"])
     rows = docs.withColumn("kept_node", key)
