@@ -74,4 +74,10 @@ def test_repeats_ties_nulls_and_empty(spark):
 def test_long_line_and_non_latin():
     long = "日本語のとても長い行です。" * 3000
     assert lines.signatures([long, long, "x" * 8]).shape == (3, lines.BANDS)
-    assert lines.alike(long.encode(), long.encode())
+    x = lines.shingle_set(long.encode())
+    assert lines.alike(x, x)
+    assert x[0] is None
+    r = random.Random(1)
+    base = "".join(r.choice("crème brûlée at ono") for _ in range(200))
+    latin = [lines.shingle_set(t.encode()) for t in (base, base + "日本語", "something else " * 9)]
+    assert latin[0][0] and lines.alike(latin[0], latin[1]) and not lines.alike(latin[0], latin[2])
