@@ -157,8 +157,11 @@ def q_apply_reviews(spark, d):
 
 
 def _results(spark, d):
-    records = {s: corpus(spark, d, s).withColumn("printed_page_label", F.nullif(F.regexp_extract("layout_text", pages.patterns.PAGE_LABEL, 1), F.lit(""))) for s in run.SIDES}
-    return run.analyse(records, reviews(doses.group_dose_candidates(*_side(spark, d, "text"), K)))
+    label = F.nullif(F.regexp_extract("layout_text", pages.patterns.PAGE_LABEL, 1), F.lit(""))
+    records = {s: corpus(spark, d, s).withColumn("printed_page_label", label).persist() for s in run.SIDES}
+    text_side = records["text"]
+    found = doses.group_dose_candidates(text_side, headings.extract_headings(text_side, K), doses.detect_dose_like_pages(text_side, K), K)
+    return run.analyse(records, reviews(found), DataFrame.persist)
 
 
 def q_cadre_report(spark, d):
