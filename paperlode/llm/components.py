@@ -15,6 +15,7 @@ Used with any sketch: the caller brings buckets for each node and an exact test
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -148,24 +149,32 @@ def _within_blocks(prepare: Callable, test: Callable) -> Callable[[Iterator[pa.R
     return run
 
 
-def near_components(sketches: DataFrame, payloads: Callable[[DataFrame], DataFrame], prepare: Callable, test: Callable) -> DataFrame:
+def near_components(sketches: DataFrame, payloads: Callable[[DataFrame], DataFrame], prepare: Callable, test: Callable, at_once: int = 20) -> DataFrame:
     """node and root of every node that is linked to another.
 
     sketches: node (binary key) and bands (array of as many 64-bit buckets for each node), one row
     a node; nodes with null bands stay alone. payloads: gives node and payload (binary) for the
     nodes of a DataFrame of nodes. prepare: makes a payload ready for tests. test: whether two that
-    are ready are near duplicates.
+    are ready are near duplicates. at_once: buckets of a node that are dealt in one go; all of them
+    are, one run of bands after the other, and fewer at once take less disk.
     """
-    return distilled(sketches.sparkSession, "roots", lambda: _near_components(sketches, payloads, prepare, test))
+    return distilled(sketches.sparkSession, "roots", lambda: _near_components(sketches, payloads, prepare, test, at_once))
 
 
-def _near_components(sketches: DataFrame, payloads: Callable[[DataFrame], DataFrame], prepare: Callable, test: Callable) -> DataFrame:
-    parts = shuffle_partitions(sketches.sparkSession)
-    short = F.xxhash64("node")
-    spread = sketches.where("bands is not null").select(short.alias("id"), F.explode("bands").alias("bucket"))
+def _members(sketches: DataFrame, first: int, at_once: int) -> DataFrame:
+    """bucket and id of the nodes that are not alone in a bucket of the bands from first (from 1) on."""
+    bands = F.slice("bands", first, at_once)
+    spread = sketches.where("bands is not null").select(F.xxhash64("node").alias("id"), F.explode(bands).alias("bucket"))
     shared = spread.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
     # the hash table is of the few shared buckets in a partition, so that the many rows need no sort
-    members = saved(spread.join(shared.hint("shuffle_hash"), "bucket").select("bucket", "id"), "members")
+    return saved(spread.join(shared.hint("shuffle_hash"), "bucket").select("bucket", "id"), "members")
+
+
+def _near_components(sketches: DataFrame, payloads: Callable[[DataFrame], DataFrame], prepare: Callable, test: Callable, at_once: int) -> DataFrame:
+    parts = shuffle_partitions(sketches.sparkSession)
+    short = F.xxhash64("node")
+    n_bands = sketches.agg(F.max(F.size("bands"))).first()[0] or 0
+    members = reduce(DataFrame.union, [_members(sketches, k, at_once) for k in range(1, max(n_bands, 1) + 1, at_once)])
     hubs = members.groupBy("bucket").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count("*").alias("n"))
     pairs = members.join(hubs, "bucket").select("id", F.explode(F.array("lo", "hi")).alias("hub")).where("id <> hub")
     pairs = saved(pairs.select(F.least("id", "hub").alias("id"), F.greatest("id", "hub").alias("hub")).distinct(), "pairs")

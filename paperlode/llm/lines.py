@@ -28,8 +28,10 @@ from .components import near_components
 from .words import BASE, mix
 
 SHINGLE, JACCARD, MIN_CHARS = 8, 0.8, 20
-#: Of pairs with a similarity of 0.8, 98.5 in 100 share a bucket, of 0.85 99.7, of 0.9 all but 1 in 5,000.
-BANDS, ROWS = 8, 4
+#: Of pairs with a similarity of 0.8, all but 3 in 100,000 share a bucket, of 0.85 all but 4 in 10,000,000.
+BANDS, ROWS = 20, 4
+#: Bands that are dealt in one go.
+AT_ONCE = 5
 SLICE_BYTES = 1 << 18
 U, U32 = np.uint64, np.uint32
 
@@ -152,7 +154,7 @@ def _dropped_lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         again = _exploded(texts, "id", "text", "payload").select("node", F.xxhash64("doc").alias("in_doc"), "payload")
         return again.join(need, ["node", "in_doc"], "left_semi").select("node", "payload").dropDuplicates(["node"])
 
-    roots = near_components(nodes.select("node", "bands"), payloads, shingle_set, alike)
+    roots = near_components(nodes.select("node", "bands"), payloads, shingle_set, alike, AT_ONCE)
     several = nodes.select("node", "n").join(roots, "node", "left").where("n > 1 or root is not null").select("node", F.coalesce("root", "node").alias("root"))
     place = F.struct(F.col("id").isNull(), "id", "doc", "line")
     copies = _exploded(docs, id_col, text_col, "place").join(several.hint("shuffle_hash"), "node").select("doc", "line", "root", place.alias("place"))

@@ -81,3 +81,11 @@ def test_long_line_and_non_latin():
     base = "".join(r.choice("crème brûlée at ono") for _ in range(200))
     latin = [lines.shingle_set(t.encode()) for t in (base, base + "日本語", "something else " * 9)]
     assert latin[0][0] and lines.alike(latin[0], latin[1]) and not lines.alike(latin[0], latin[2])
+
+
+def test_pairs_at_the_threshold_share_a_bucket():
+    r = random.Random(8)
+    word = lambda n: "".join(r.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    pairs = [(x + word(10), x + word(10)) for x in (word(87) for _ in range(4000))]  # 80 of 100 shingles are shared
+    one, two = (lines.signatures(list(x)) for x in zip(*pairs))
+    assert (~(one == two).any(axis=1)).sum() <= 4
