@@ -129,8 +129,9 @@ def _tag(kind: str) -> Column:
 
 
 def disclosing_terms(found: DataFrame, docs: DataFrame, text_col: str) -> DataFrame:
-    """entity, term, disclosed (share of the entity's information) and action."""
-    pairs = found.select(F.explode("context").alias("c"), "key").select("c.entity", "c.term", "key").distinct()
+    """entity, term, disclosed (share of the entity's information) and action; found has every row
+    of docs, as an entity counts where it has no context too."""
+    pairs = found.where(F.size("context") > 0).select(F.explode("context").alias("c"), "key").select("c.entity", "c.term", "key").distinct()
     met = pairs.groupBy("entity", "term").agg(F.count("*").alias("n_both")).where(F.col("n_both") >= SUPPORT)
     names = F.flatten(F.array(*(F.transform(_tag(k), lambda x: x["entity"]) for k in KINDS)))
     entities = found.select(F.explode(F.array_distinct(names)).alias("entity"), "key").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
@@ -149,7 +150,7 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """id_col, key, base spans of each kind as (s, e, m), and terms as (s, e, action), for each row."""
     found = saved(located_data(docs, id_col, text_col), "personal")
     some = found.where(F.size("context") > 0)
-    terms = disclosing_terms(some, docs, text_col)
+    terms = disclosing_terms(found, docs, text_col)
     flat = some.select("key", F.explode("context").alias("c")).select("key", "c.*")
     hits = flat.join(terms, ["entity", "term"]).groupBy("key", "s", "e").agg(F.max("action").alias("action"))
     per_row = hits.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("s", "e", "action"))).alias("terms"))

@@ -102,3 +102,11 @@ def test_query_columns(spark, tmp_path):
     assert (one.n_email, one.n_ip, one.n_card, one.n_phone, one.spans, one.base_sha256) == (1, 0, 0, 1, spans, hashlib.sha256(spans.encode()).hexdigest())
     none = next(x for x in rows if x.doc_id is None)
     assert none.spans == "" and none.base_sha256 == hashlib.sha256(b"").hexdigest()
+
+
+def test_entities_count_in_rows_without_words(spark):
+    docs = [(0, "gateway 10.1.1.1 rack"), (1, "gateway 10.1.1.1 rack"), *((i, f"{i} 10.1.1.1 {i}") for i in range(2, 40)), *((i, "gateway rack" if i < 42 else "other words") for i in range(40, 60)), (60, "nothing")]
+    rows = pii.find_personal_data(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    want = brute_terms(docs)
+    assert {x.doc_id: [(a, b, c) for a, b, c in x.terms] for x in rows if x.terms} == {d: sorted((a, b, c) for (a, b), c in v.items()) for d, v in want.items() if v}
+    assert not any(x.terms for x in rows)
