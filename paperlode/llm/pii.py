@@ -1,12 +1,12 @@
 """Personal data and what gives it away, in DataFrame operations only.
 
 Base spans are e-mail addresses, IP addresses, card and phone numbers. Every different value is a
-protected entity. Words near an entity are its context terms; over the whole corpus it is counted
-in how many rows a term, an entity and both occur. By information theory an entity e of n(e) in N
+protected entity. The words of a row that holds an entity, however far from it, are its context
+terms; over the whole corpus it is counted in how many rows a term, an entity and both occur. By information theory an entity e of n(e) in N
 rows has the information IC(e) = log2(N / n(e)), and a term t discloses
 PMI(t, e) = log2(N n(t, e) / (n(t) n(e))) of it. Terms met with the entity in at least SUPPORT
 rows that disclose GENERALISE of its information are generalised, those that disclose REMOVE of it
-are removed, wherever they stand near that entity.
+are removed, wherever they stand in a row with that entity.
 
 Offsets count code points from 0, ends are exclusive. Results for odd input: a null text counts as
 empty; rows of equal doc_id and text get equal results; spans of different kinds may overlap;
@@ -33,7 +33,9 @@ PATTERNS = {
 #: A cheap test that a text may hold the kind at all.
 NEEDS = {"email": "@", "ip": ".", "card": "", "phone": "+"}
 TERM = r"\p{L}{3,}+"
-WINDOW, SUPPORT, GENERALISE, REMOVE = 50, 2, 0.5, 0.8
+SUPPORT, GENERALISE, REMOVE = 2, 0.5, 0.8
+#: How far from an entity its terms may stand: as far as any text goes.
+WINDOW = 2**31 - 1
 #: Matches whose places are summed up in one go; longer lists are worked through in such parts.
 PART = 512
 
@@ -92,21 +94,10 @@ def base_spans(text: Column, kind: str) -> Column:
     return F.when(may, F.filter(located(text, PATTERNS[kind]), lambda x: _is_valid(kind, x["m"]))).otherwise(none)
 
 
-def _context(text: Column, spans: Column) -> Column:
-    """array of (entity, term, s, e): terms within WINDOW characters of a base span, cut-off words
-    and those inside of base spans left out."""
-
-    def near(b: Column) -> Column:
-        def side(start: Column, end: Column) -> Column:
-            part = F.substring(text, start + 1, end - start)
-            words = F.transform(located(part, TERM), lambda w: F.struct(b["entity"].alias("entity"), F.lower(w["m"]).alias("term"), (w["s"] + start).alias("s"), (w["e"] + start).alias("e")))
-            return F.filter(words, lambda w: ((w["s"] > start) | (start == 0) | (start == b["e"])) & ((w["e"] < end) | (end == b["s"]) | (end == F.length(text))))
-
-        left, right = F.greatest(F.lit(0), b["s"] - WINDOW), F.least(F.length(text), b["e"] + WINDOW)
-        return F.concat(side(left, b["s"]), side(b["e"], right))
-
-    free = lambda w: ~F.exists(spans, lambda b: (w["s"] < b["e"]) & (w["e"] > b["s"]))
-    return F.array_distinct(F.filter(F.flatten(F.transform(spans, near)), free))
+def _words(text: Column, spans: Column) -> Column:
+    """array of (term, s, e): the words of text, those that overlap a base span left out."""
+    words = F.transform(located(text, TERM), lambda w: F.struct(F.lower(w["m"]).alias("term"), w["s"].alias("s"), w["e"].alias("e")))
+    return F.filter(words, lambda w: ~F.exists(spans, lambda b: (w["s"] < b["e"]) & (w["e"] > b["s"])))
 
 
 def _key(id_col: str, text: Column) -> Column:
@@ -114,27 +105,36 @@ def _key(id_col: str, text: Column) -> Column:
 
 
 def located_data(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id, key, the base spans of each kind, and context; one row for each of docs."""
+    """id, key, the base spans of each kind, and words; one row for each of docs. Rows without a
+    base span have no words, as none of theirs can be a context term."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), _key(id_col, text).alias("key"), text.alias("text"))
     rows = rows.select("id", "key", "text", *(base_spans(F.col("text"), k).alias(k) for k in KINDS))
     rows = rows.withColumn("all_spans", F.concat(*map(_tag, KINDS)))
-    none = F.array().cast("array<struct<entity:string,term:string,s:int,e:int>>")
-    context = F.when(F.size("all_spans") > 0, _context(F.col("text"), F.col("all_spans"))).otherwise(none)
-    return rows.select("id", "key", *KINDS, context.alias("context"))
+    none = F.array().cast("array<struct<term:string,s:int,e:int>>")
+    words = F.when(F.size("all_spans") > 0, _words(F.col("text"), F.col("all_spans"))).otherwise(none)
+    return rows.select("id", "key", *KINDS, words.alias("words"))
 
 
 def _tag(kind: str) -> Column:
     return F.transform(F.col(kind), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), F.concat(F.lit(f"{kind}:"), x["m"]).alias("entity")))
 
 
+def _held(found: DataFrame) -> DataFrame:
+    """entity and key of the rows of found that hold it."""
+    names = F.flatten(F.array(*(F.transform(_tag(k), lambda x: x["entity"]) for k in KINDS)))
+    return found.select(F.explode(F.array_distinct(names)).alias("entity"), "key").distinct()
+
+
 def disclosing_terms(found: DataFrame, docs: DataFrame, text_col: str) -> DataFrame:
     """entity, term, disclosed (share of the entity's information) and action; found has every row
     of docs, as an entity counts where it has no context too."""
-    pairs = found.where(F.size("context") > 0).select(F.explode("context").alias("c"), "key").select("c.entity", "c.term", "key").distinct()
+    held = _held(found)
+    # an entity in fewer rows than SUPPORT meets no term in that many
+    entities = held.groupBy("entity").agg(F.count("*").alias("n_entity")).where(F.col("n_entity") >= SUPPORT)
+    words = found.where(F.size("words") > 0).dropDuplicates(["key"]).select("key", F.array_distinct(F.transform("words", lambda w: w["term"])).alias("terms"))
+    pairs = held.join(entities, "entity", "left_semi").join(words, "key").select("entity", F.explode("terms").alias("term"))
     met = pairs.groupBy("entity", "term").agg(F.count("*").alias("n_both")).where(F.col("n_both") >= SUPPORT)
-    names = F.flatten(F.array(*(F.transform(_tag(k), lambda x: x["entity"]) for k in KINDS)))
-    entities = found.select(F.explode(F.array_distinct(names)).alias("entity"), "key").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
     # rows that hold a term, over the whole corpus; partial counts go over the network
     words = F.array_distinct(F.transform(F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(TERM), F.lit(0)), lambda w: F.xxhash64(w)))
     terms = docs.select(F.explode(words).alias("hash")).groupBy("hash").agg(F.count("*").alias("n_term"))
@@ -149,10 +149,12 @@ def disclosing_terms(found: DataFrame, docs: DataFrame, text_col: str) -> DataFr
 def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id_col, key, base spans of each kind as (s, e, m), and terms as (s, e, action), for each row."""
     found = saved(located_data(docs, id_col, text_col), "personal")
-    some = found.where(F.size("context") > 0)
-    terms = disclosing_terms(found, docs, text_col)
-    flat = some.select("key", F.explode("context").alias("c")).select("key", "c.*")
-    hits = flat.join(terms, ["entity", "term"]).groupBy("key", "s", "e").agg(F.max("action").alias("action"))
+    terms = saved(disclosing_terms(found, docs, text_col), "terms")
+    words = found.where(F.size("words") > 0).select("key", F.explode("words").alias("w")).select("key", "w.*")
+    words = words.join(terms.select("term").distinct(), "term", "left_semi").distinct()
+    # an entity may have many terms: only those that stand in a row are paired with its entities
+    marked = _held(found).join(terms.select("entity").distinct(), "entity", "left_semi").join(words, "key")
+    hits = marked.join(terms, ["entity", "term"]).groupBy("key", "s", "e").agg(F.max("action").alias("action"))
     per_row = hits.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("s", "e", "action"))).alias("terms"))
     none = F.array().cast("array<struct<s:int,e:int,action:string>>")
     out = found.join(per_row, "key", "left")

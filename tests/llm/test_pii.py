@@ -110,3 +110,12 @@ def test_entities_count_in_rows_without_words(spark):
     want = brute_terms(docs)
     assert {x.doc_id: [(a, b, c) for a, b, c in x.terms] for x in rows if x.terms} == {d: sorted((a, b, c) for (a, b), c in v.items()) for d, v in want.items() if v}
     assert not any(x.terms for x in rows)
+
+
+def test_terms_far_from_the_entity_count_and_go(spark):
+    far = "Zorro " + "of the " * 40 + "mail boss@corp.example " + "of the " * 40 + "zorro"
+    docs = [(0, far), (1, far + "."), (2, far), *((i, f"of the mail {i}") for i in range(3, 60))]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    rows = {x.doc_id: x.terms for x in pii.find_personal_data(df).collect()}
+    assert all([(s, e, a) for s, e, a in rows[i]] == [(0, 5, "remove"), (len(far) - 5, len(far), "remove")] for i in range(3))
+    assert not any(rows[i] for i in range(3, 60))
