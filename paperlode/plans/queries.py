@@ -78,8 +78,8 @@ def q_dose_signals(spark, d):
 
 
 def q_document_signals(spark, d):
-    """Signals of the document table's ASCII texts."""
-    docs = table(spark, d, "documents").where(F.col("text").rlike(r"^[\x00-\x7F]*\z"))
+    """Signals of the document table's texts."""
+    docs = table(spark, d, "documents")
     rows = docs.select("doc_id", F.explode(doses.signals(F.col("text"))).alias("s"))
     return rows.groupBy("doc_id", "s.category").agg(F.count("*").alias("n"))
 

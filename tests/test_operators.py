@@ -1,7 +1,12 @@
+import re
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
+from paperlode.functions import patterns
 from paperlode.operators import comparison, doses, headings, pages, report, review
+from paperlode.plans import queries
 from paperlode.schemas import CANDIDATE_FIELDS, REVIEW, allows_composed_action
 from paperlode.streaming import pages as stream
 
@@ -160,3 +165,15 @@ def test_stream(spark, tmp_path):
     finally:
         q.stop()
     assert sorted(r.physical_page for r in spark.table("dose").collect()) == [1, 2]
+
+
+def test_document_signals_of_all_texts_equal_brute_force(spark, tmp_path):
+    texts = ["give 5 mg oral", "é5 mg, 5 mgé; 3–5 años", "Für 3–5 years: ٥ ml IM, stat.", "5 mg/10 kg\nweight 3 - 4 Kg très oral", "日本語 10 mg IV", "crème", "", None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    want = Counter()
+    for i, t in enumerate(texts):
+        for line in (t or "").split("\n"):
+            want.update({(i, c): n for c, p in patterns.SIGNALS.items() if (n := len(re.findall(p.replace("(?iUd)", "(?i)"), line)))})
+    rows = queries.q_document_signals(spark, str(tmp_path)).collect()
+    assert {(r.doc_id, r.category): r.n for r in rows} == want
+    assert len({i for i, _ in want}) > 3
