@@ -27,7 +27,7 @@ from .common import distilled, saved, slices, table
 from .components import near_components
 from .words import BASE, mix
 
-SHINGLE, JACCARD, MIN_CHARS = 8, 0.8, 20
+SHINGLE, JACCARD, MIN_CHARS = 8, 0.8, 8
 #: Of pairs with a similarity of 0.8, all but 3 in 100,000 share a bucket, of 0.85 all but 4 in 10,000,000.
 BANDS, ROWS = 20, 4
 #: Bands that are dealt in one go.

@@ -89,3 +89,9 @@ def test_pairs_at_the_threshold_share_a_bucket():
     pairs = [(x + word(10), x + word(10)) for x in (word(87) for _ in range(4000))]  # 80 of 100 shingles are shared
     one, two = (lines.signatures(list(x)) for x in zip(*pairs))
     assert (~(one == two).any(axis=1)).sum() <= 4
+
+
+def test_short_lines_are_copies_too(spark):
+    docs = [(1, "and ornd.\nok\n\n8 chars!"), (2, "And  ornd.\nok\n\nelse here"), (3, "8 chars!\nand orne.\nok")]
+    out = {x.doc_id: x.text for x in lines.dedup(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert out == {1: docs[0][1], 2: "ok\n\nelse here", 3: "and orne.\nok"}
