@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import shutil
 import tempfile
+import threading
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -14,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _local_dirs: dict[str, str] = {}
-_scopes: list[list[str]] = []
+_scopes = threading.local()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,12 +26,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir, which driver and executors share.
 
-    Where that setting is unset (tests on one machine) a temporary folder stands in and is
-    removed at exit.
+    Where that setting is unset and all runs in one process (tests), a temporary folder stands in
+    and is removed at exit. A cluster without that setting is an error: its executors have no
+    folder in common.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     app = spark.sparkContext.applicationId
     if app not in _local_dirs:
         _local_dirs[app] = tempfile.mkdtemp(prefix="paperlode-")
@@ -37,32 +43,45 @@ def shared_dir(spark: SparkSession) -> str:
     return f"file://{_local_dirs[app]}"
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def saved(df: DataFrame, tag: str) -> DataFrame:
-    """df as a Parquet table in the shared folder: cuts lineage and survives lost executors."""
+    """df as a Parquet table in the shared folder: cuts lineage and survives lost executors.
+
+    Inside distilled, the table goes when that is done.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/paperlode/{tag}-{uuid.uuid4().hex}"
+    scope = getattr(_scopes, "paths", None)
+    if scope is not None:
+        scope.append(path)
     df.write.parquet(path)
-    if _scopes:
-        _scopes[-1].append(path)
-    # Spark removes the shuffle files of finished jobs once the driver has collected their garbage
-    spark._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
 def distilled(spark: SparkSession, tag: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """The saved result of build; tables that were saved on the way to it are deleted."""
-    _scopes.append([])
+    """The saved result of build; tables that were saved on the way to it are deleted, also where
+    it fails. Each thread has tables of its own."""
+    outer, inner = getattr(_scopes, "paths", None), []
+    _scopes.paths = inner
     try:
         df = build()
-        inner = _scopes.pop()
-    except BaseException:
-        _scopes.pop()
-        raise
-    out = saved(df, tag)
-    for path in inner:
-        p = spark._jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-    return out
+        _scopes.paths = outer
+        return saved(df, tag)
+    finally:
+        _scopes.paths = outer
+        for path in inner:
+            with contextlib.suppress(Exception):  # what is left of a table does no harm
+                _remove(spark, path)
+
+
+def release(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of finished jobs: it does so when the driver's JVM has
+    collected the objects that stand for them, which by itself may take half an hour."""
+    spark._jvm.System.gc()
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
@@ -74,6 +93,14 @@ def text_key(text: Column) -> Column:
     return F.unhex(F.md5(text.cast("binary")))
 
 
+def free_name(columns: list[str], name: str) -> str:
+    """name, or a longer one, that is none of columns in any case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def slices(texts: pa.Array, max_bytes: int) -> Iterator[pa.Array]:
     """Cuts a string array into runs of rows of at most max_bytes (one row may exceed it)."""
     sizes = pc.binary_length(texts).fill_null(0).to_pylist()

@@ -1,13 +1,16 @@
 """Near-duplicate linking: candidates from shared buckets, exact tests, connected components.
 
-Used with any sketch: the caller brings buckets for each node and an exact test of two payloads.
-
-1. Every member of a bucket is tested against two members of it, so a bucket of n nodes costs 2n
-   tests. Buckets are counted and joined by their own hash; a hot one is split by skew joins.
-2. Links so far are contracted to components. Buckets that still hold more than one component are
-   cut into blocks, and pairs of blocks are worked through with a local union-find that tests
-   only pairs of different components. So no link between components of a bucket is lost, tests
-   shrink as groups join, and what comes out is a forest, never all pairs of a group.
+Used with any sketch: the caller brings the members of shared buckets and a Matcher.
+
+1. Two members of a bucket are its hubs: the one that meets most others over all its buckets (in a
+   group of copies, mostly the text they were made from), and the one of least id. All other
+   members are tested against them. A hub's pairs come together with one copy of its payload.
+2. Links so far are contracted to components. In a bucket that still holds several, its largest one
+   and the rest are cut into blocks; a block of the rest meets each block of the largest one and
+   of the rest. A block pair counts what its payloads have in common with an inverted index and
+   tests pairs of different components only, as a local union-find goes on. So no link between
+   components of a bucket is lost, and what comes out is a forest, never all pairs of a group.
+   Rows: each member of the largest component once for each block of the rest, mostly one.
 3. Components of all links: each node hooks onto its smallest neighbour, two steps at a time, and
    edges are rewritten until none is left. All state is in tables in the shared folder.
 """
@@ -15,17 +18,32 @@ Used with any sketch: the caller brings buckets for each node and an exact test
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from functools import reduce
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import distilled, saved, shuffle_partitions
+from .common import distilled, release, saved, shuffle_partitions
 
-#: Nodes of one bucket that are held in memory at a time are about twice this number.
-BLOCK = 512
+#: Members and bytes of payloads in a block, members of a hub that one task tests in one go, and
+#: entries of the inverted index that are counted in one go.
+BLOCK, BLOCK_BYTES, FANS, ENTRIES = 4096, 8 << 20, 4096, 1 << 21
+
+
+@dataclass
+class Matcher:
+    """How two payloads are compared.
+
+    prepare makes a payload ready for test, which says whether two that are ready are near
+    duplicates. features gives the different features of what is ready, as 64-bit numbers: where n
+    and m features have o in common, near duplicates always have o / (n + m - o) >= 4 / 5.
+    """
+
+    prepare: Callable
+    test: Callable
+    features: Callable
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -64,46 +82,63 @@ def connected_components(edges: DataFrame) -> DataFrame:
     return labels if labels is not None else first.select("node", F.col("node").alias("root"))
 
 
-class Union:
-    """Union-find over small integers."""
-
-    def __init__(self, n: int):
-        self.up = list(range(n))
-
-    def root(self, i: int) -> int:
-        up = self.up
-        while up[i] != i:
-            up[i] = i = up[up[i]]
-        return i
-
-    def join(self, i: int, j: int) -> None:
-        self.up[self.root(i)] = self.root(j)
-
-
-def _tested(pairs: DataFrame, prepare: Callable, test: Callable) -> DataFrame:
-    """a and b of the pairs (a, b, payload_a, payload_b) that pass."""
+def _starred(stars: DataFrame, matcher: Matcher) -> DataFrame:
+    """a and b of the links between a hub and its members. stars: hub, salt, fan (false for the hub's
+    own row), node and payload, sorted by the first three."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, ready = None, None  # pairs of one b mostly follow one another
+        key, hubs = None, []
         for batch in batches:
-            a, b, x, y = batch.columns
-            passed = []
-            for p, q in zip(x.to_pylist(), y.to_pylist()):
-                if q != last:
-                    last, ready = q, prepare(q)
-                passed.append(test(prepare(p), ready))
-            ok = pa.array(passed, pa.bool_())
-            yield pa.RecordBatch.from_arrays([a.filter(ok), b.filter(ok)], ["a", "b"])
+            links = []
+            for hub, salt, fan, node, payload in zip(*(c.to_pylist() for c in batch.columns)):
+                if (hub, salt) != key:
+                    key, hubs = (hub, salt), []
+                ready = matcher.prepare(payload)
+                if not fan:
+                    hubs.append((node, ready))  # should two nodes have one id, each of them is tested
+                else:
+                    links += [(node, x) for x, y in hubs if x != node and matcher.test(ready, y)]
+            if links:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in zip(*links)], ["a", "b"])
 
-    return pairs.select("a", "b", "payload_a", "payload_b").mapInArrow(run, "a binary, b binary")
+    return stars.select("hub", "salt", "fan", "node", "payload").mapInArrow(run, "a binary, b binary")
+
+
+class Common:
+    """An inverted index of the features of some payloads."""
+
+    def __init__(self, features: list[np.ndarray]):
+        self.size = np.array([len(f) for f in features])
+        owner = np.repeat(np.arange(len(features)), self.size)
+        values, code = np.unique(np.concatenate(features), return_inverse=True)
+        self.codes, self.first = code, np.concatenate([[0], np.cumsum(self.size)])
+        order = np.argsort(code, kind="stable")
+        self.owner = owner[order]
+        self.start = np.concatenate([[0], np.cumsum(np.bincount(code, minlength=len(values)))])
+
+    def alike(self, k: int) -> np.ndarray:
+        """The others that have enough in common with k, most first."""
+        codes = self.codes[self.first[k] : self.first[k + 1]]
+        start, size = self.start[codes], self.start[codes + 1] - self.start[codes]
+        total, held = np.cumsum(size), 0
+        both = np.zeros(len(self.size), np.int64)
+        at = 0
+        while at < len(codes):
+            end = max(at + 1, int(np.searchsorted(total, held + ENTRIES, side="right")))
+            n = size[at:end]
+            skip = np.repeat(start[at:end] - (np.cumsum(n) - n), n)
+            both += np.bincount(self.owner[skip + np.arange(len(skip))], minlength=len(both))
+            at, held = end, int(total[end - 1])
+        found = np.flatnonzero(9 * both >= 4 * (self.size + self.size[k]))
+        return found[np.argsort(-both[found], kind="stable")]
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, list[dict]]]:
-    """Rows of sorted batches by (bucket, i, j)."""
+    """Rows of sorted batches by (bucket, x, y)."""
     key, rows = None, []
     for batch in batches:
         for row in batch.to_pylist():
-            k = (row["bucket"], row["i"], row["j"])
+            k = (row["bucket"], row["x"], row["y"])
             if k != key:
                 if rows:
                     yield key, rows
@@ -113,86 +148,91 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, list[dic
         yield key, rows
 
 
-def _within_blocks(prepare: Callable, test: Callable) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def block_links(rows: list[dict], inner: bool, matcher: Matcher) -> list[tuple[bytes, bytes]]:
+    """Links that join components among rows (node, root, payload, rest): of each row of the rest with
+    those that aren't, and if inner with others of the rest."""
+    number: dict[bytes, int] = {}
+    own = np.array([number.setdefault(r["root"], len(number)) for r in rows])
+    if len(number) == 1:
+        return []
+    ready = [matcher.prepare(r["payload"]) for r in rows]
+    common = Common([matcher.features(x) for x in ready])
+    rest = np.array([r["rest"] for r in rows])
+    links = []
+    for k in np.flatnonzero(rest).tolist():
+        for m in common.alike(k).tolist():
+            if own[m] != own[k] and (not rest[m] or (inner and m < k)) and matcher.test(ready[m], ready[k]):
+                links.append((rows[m]["node"], rows[k]["node"]))
+                own[own == own[m]] = own[k]
+    return links
+
+
+def _between_blocks(matcher: Matcher) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (bucket, i, j), rows in _groups(batches):
-            n = len(rows)
-            place: dict[bytes, int] = {}
-            union = Union(n)
-            for k, r in enumerate(rows):
-                union.join(k, place.setdefault(r["root"], k))
-            bands = np.array([r["bands"] for r in rows], np.int64)
-            at = int(np.flatnonzero(bands[0] == bucket)[0])
-            own, hub = np.array([r["own"] for r in rows]), np.array([r["hub"] for r in rows])
-            ready: list = [None] * n
-            links = []
-            for k in range(n):
-                if hub[k]:
-                    continue  # tested against all of the bucket before
-                todo = ~hub[:k]
-                if i != j:
-                    todo &= own[:k] != own[k]
-                todo = np.flatnonzero(todo)
-                if at and len(todo):  # a pair that shares an earlier bucket is worked on there
-                    todo = todo[~(bands[todo, :at] == bands[k, :at]).any(axis=1)]
-                for m in todo.tolist():
-                    if union.root(m) != union.root(k):
-                        for x in (m, k):
-                            if ready[x] is None:
-                                ready[x] = prepare(rows[x]["payload"])
-                        if test(ready[m], ready[k]):
-                            union.join(m, k)
-                            links.append((rows[m]["node"], rows[k]["node"]))
-            if links:
+        for (_, x, _), rows in _groups(batches):
+            if links := block_links(rows, x == 0, matcher):
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in zip(*links)], ["a", "b"])
 
     return run
 
 
-def near_components(sketches: DataFrame, payloads: Callable[[DataFrame], DataFrame], prepare: Callable, test: Callable, at_once: int = 20) -> DataFrame:
+def near_components(members: DataFrame, payloads: Callable[[DataFrame], DataFrame], matcher: Matcher) -> DataFrame:
     """node and root of every node that is linked to another.
 
-    sketches: node (binary key) and bands (array of as many 64-bit buckets for each node), one row
-    a node; nodes with null bands stay alone. payloads: gives node and payload (binary) for the
-    nodes of a DataFrame of nodes. prepare: makes a payload ready for tests. test: whether two that
-    are ready are near duplicates. at_once: buckets of a node that are dealt in one go; all of them
-    are, one run of bands after the other, and fewer at once take less disk.
+    members: bucket and id (long) of what shares buckets. payloads: gives id, node (binary key, of
+    which id is a hash) and payload (binary) for the ids of a DataFrame, one row a node.
     """
-    return distilled(sketches.sparkSession, "roots", lambda: _near_components(sketches, payloads, prepare, test, at_once))
-
-
-def _members(sketches: DataFrame, first: int, at_once: int) -> DataFrame:
-    """bucket and id of the nodes that are not alone in a bucket of the bands from first (from 1) on."""
-    bands = F.slice("bands", first, at_once)
-    spread = sketches.where("bands is not null").select(F.xxhash64("node").alias("id"), F.explode(bands).alias("bucket"))
-    shared = spread.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    # the hash table is of the few shared buckets in a partition, so that the many rows need no sort
-    return saved(spread.join(shared.hint("shuffle_hash"), "bucket").select("bucket", "id"), "members")
-
-
-def _near_components(sketches: DataFrame, payloads: Callable[[DataFrame], DataFrame], prepare: Callable, test: Callable, at_once: int) -> DataFrame:
-    parts = shuffle_partitions(sketches.sparkSession)
-    short = F.xxhash64("node")
-    n_bands = sketches.agg(F.max(F.size("bands"))).first()[0] or 0
-    members = reduce(DataFrame.union, [_members(sketches, k, at_once) for k in range(1, max(n_bands, 1) + 1, at_once)])
-    hubs = members.groupBy("bucket").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count("*").alias("n"))
-    pairs = members.join(hubs, "bucket").select("id", F.explode(F.array("lo", "hi")).alias("hub")).where("id <> hub")
-    pairs = saved(pairs.select(F.least("id", "hub").alias("id"), F.greatest("id", "hub").alias("hub")).distinct(), "pairs")
-    # ids are short; should two nodes ever have the same one, each of them is tested
-    ids = pairs.select("id").union(pairs.select("hub")).distinct()
-    involved = saved(sketches.where("bands is not null").select("node", "bands", short.alias("id")).join(ids, "id", "left_semi"), "involved")
-    held = saved(payloads(involved.select("node")).join(involved, "node").select("id", "node", "bands", "payload"), "payloads")
-    sides = [held.select(F.col("id").alias(k), F.col("node").alias(n), F.col("payload").alias(f"payload_{n}")) for k, n in (("id", "a"), ("hub", "b"))]
-    links = saved(_tested(pairs.join(sides[0], "id").join(sides[1], "hub"), prepare, test), "links")
-    joined = connected_components(links)
-    # what is left: buckets with nodes of different components, of which some pairs were not tested
-    names = held.select("id", "node").join(joined, "node", "left").select("id", F.coalesce("root", "node").alias("root"))
-    roots = members.join(hubs.where("n > 3"), "bucket").select("bucket", "id", F.col("id").isin(F.col("lo"), F.col("hi")).alias("hub")).join(names, "id")
-    mixed = roots.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n"))
-    mixed = mixed.where("lo <> hi").select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    left = roots.join(mixed, "bucket").withColumn("own", F.pmod(F.xxhash64("id", F.lit(7)), F.col("blocks")).cast("int"))
-    left = left.select("bucket", "id", "root", "hub", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    left = left.join(held, "id").select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "hub", "node", "root", "bands", "payload")
-    left = left.repartition(parts, "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "node")
-    more = left.mapInArrow(_within_blocks(prepare, test), "a binary, b binary")
-    return connected_components(links.union(saved(more, "links")))
+    return distilled(members.sparkSession, "roots", lambda: _near_components(members, payloads, matcher))
+
+
+def _hub_links(members: DataFrame, hubs: DataFrame, held: DataFrame, matcher: Matcher) -> DataFrame:
+    pairs = members.join(hubs, "bucket").select("id", F.explode(F.array_distinct(F.array("hub", "second"))).alias("hub")).where("id <> hub")
+    # a pair of hubs is tested once
+    pairs = saved(pairs.select(F.least("id", "hub").alias("id"), F.greatest("id", "hub").alias("hub"), (F.col("id") < F.col("hub")).alias("up")).groupBy("id", "hub").agg(F.max("up").alias("up")), "pairs")
+    pairs = pairs.select(F.when(F.col("up"), F.col("id")).otherwise(F.col("hub")).alias("id"), F.when(F.col("up"), F.col("hub")).otherwise(F.col("id")).alias("hub"))
+    tasks = saved(pairs.groupBy("hub").agg(F.ceil(F.count("*") / FANS).cast("int").alias("salts")), "hubs")
+    fans = pairs.join(tasks, "hub").join(held, "id").select("hub", F.pmod(F.xxhash64("id"), F.col("salts")).cast("int").alias("salt"), F.lit(True).alias("fan"), "node", "payload")
+    own = tasks.join(held.withColumnRenamed("id", "hub"), "hub").select("hub", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(False).alias("fan"), "node", "payload")
+    stars = fans.union(own).repartition(shuffle_partitions(members.sparkSession), "hub", "salt").sortWithinPartitions("hub", "salt", "fan")
+    return saved(_starred(stars, matcher), "links")
+
+
+def _block_rows(members: DataFrame, hubs: DataFrame, held: DataFrame, joined: DataFrame) -> DataFrame:
+    """bucket, x, y, rest, node, root and payload: what block x of a bucket's largest component (or,
+    below 0, block -1 - x of its rest) and block y of its rest hold."""
+    names = held.select("id", "node", F.octet_length("payload").alias("size")).join(joined, "node", "left").select("id", F.coalesce("root", "node").alias("root"), "size")
+    # hubs were tested against all; between two of three members nothing else is left
+    open_ = members.join(hubs.where("n > 3"), "bucket").where("id <> hub and id <> second").select("bucket", "id").join(names, "id")
+    open_ = saved(open_.select("bucket", "id", "root", "size"), "open")
+    kinds = open_.groupBy("bucket", "root").agg(F.count("*").alias("n"), F.sum("size").alias("size"))
+    mixed = kinds.groupBy("bucket").agg(F.max(F.struct("n", "size", "root")).alias("most"), F.sum("n").alias("n"), F.sum("size").alias("size"), F.count("*").alias("kinds")).where("kinds > 1")
+    blocks = lambda n, size: F.greatest(F.ceil(n / BLOCK), F.ceil(size / BLOCK_BYTES)).cast("int")
+    most = F.col("most")
+    mixed = mixed.select("bucket", most["root"].alias("main"), blocks(most["n"], most["size"]).alias("xs"), blocks(F.col("n") - most["n"], F.col("size") - most["size"]).alias("ys"))
+    rows = open_.join(mixed, "bucket").withColumn("rest", F.col("root") != F.col("main"))
+    own = F.pmod(F.xxhash64("id", F.lit(7)), F.when(F.col("rest"), F.col("ys")).otherwise(F.col("xs"))).cast("int")
+    row = lambda x, y, rest: F.struct(x.cast("int").alias("x"), y.cast("int").alias("y"), rest.alias("rest"))
+    upto = lambda n: F.slice(F.sequence(F.lit(0), n), F.lit(1), n)  # noqa: E731  0 to n - 1
+    main = F.transform(upto(F.col("ys")), lambda y: row(F.col("own"), y, F.lit(False)))
+    rest = F.concat(
+        F.transform(upto(F.col("xs")), lambda x: row(x, F.col("own"), F.lit(True))),
+        F.transform(upto(F.col("own")), lambda x: row(-1 - x, F.col("own"), F.lit(True))),
+        F.transform(F.slice(upto(F.col("ys")), F.col("own") + 2, F.col("ys")), lambda y: row(-1 - F.col("own"), y, F.lit(False))),
+    )
+    rows = rows.withColumn("own", own).select("bucket", "id", "root", F.explode(F.when(F.col("rest"), rest).otherwise(main)).alias("at"))
+    return rows.join(held, "id").select("bucket", "at.x", "at.y", "at.rest", "node", F.coalesce("root", "node").alias("root"), "payload")
+
+
+def _near_components(members: DataFrame, payloads: Callable[[DataFrame], DataFrame], matcher: Matcher) -> DataFrame:
+    spark = members.sparkSession
+    held = saved(payloads(members.select("id").distinct()), "payloads")
+    release(spark)
+    sizes = members.groupBy("bucket").agg(F.count("*").alias("n"))
+    met = members.join(sizes, "bucket").groupBy("id").agg(F.sum("n").alias("met"))
+    hubs = members.join(met, "id").groupBy("bucket").agg(F.max(F.struct("met", "id")).alias("top"), F.min("id").alias("second"), F.count("*").alias("n"))
+    hubs = saved(hubs.select("bucket", F.col("top.id").alias("hub"), "second", "n"), "tops")
+    links = _hub_links(members, hubs, held, matcher)
+    left = _block_rows(members, hubs, held, connected_components(links))
+    left = left.repartition(shuffle_partitions(spark), "bucket", "x", "y").sortWithinPartitions("bucket", "x", "y", "node")
+    more = saved(left.mapInArrow(_between_blocks(matcher), "a binary, b binary"), "links")
+    return connected_components(links.union(more))

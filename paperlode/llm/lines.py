@@ -20,20 +20,19 @@ from hashlib import md5
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import distilled, saved, slices, table
-from .components import near_components
+from .common import distilled, free_name, release, saved, slices, table
+from .components import Matcher, near_components
+from .packed import shared_buckets
 from .words import BASE, mix
 
 SHINGLE, JACCARD, MIN_CHARS = 8, 0.8, 8
 #: Of pairs with a similarity of 0.8, all but 3 in 100,000 share a bucket, of 0.85 all but 4 in 10,000,000.
 BANDS, ROWS = 20, 4
-#: Bands that are dealt in one go.
-AT_ONCE = 5
 SLICE_BYTES = 1 << 18
-U, U32 = np.uint64, np.uint32
+U, U32, MASK = np.uint64, np.uint32, 2**64 - 1
 
 
 def normal(text: str) -> list[tuple[int, str]]:
@@ -70,7 +69,7 @@ def signatures(lines: list[str]) -> np.ndarray:
                 v *= U32((seed * 0x85EBCA6B & 0xFFFFFFFF) | 1)
                 bucket = mix(bucket * U(BASE) + np.minimum.reduceat(v, starts))
             out[:, band] = bucket
-    return out.view(np.int64)
+    return out
 
 
 def shingle_set(payload: bytes) -> tuple[set | None, bytes]:
@@ -99,42 +98,88 @@ def alike(a: tuple[set | None, bytes], b: tuple[set | None, bytes]) -> bool:
     return both >= JACCARD * (n + m - both)
 
 
+def features(line: tuple[set | None, bytes]) -> np.ndarray:
+    """The shingles as 64-bit numbers."""
+    x = _strings(line[1]) if line[0] is None else line[0]
+    return np.fromiter((hash(i) & MASK for i in x) if line[0] is None else x, np.uint64, len(x))
+
+
+MATCHER = Matcher(shingle_set, alike, features)
+
+
 def document_key(id_col: str, text_col: str) -> Column:
     """128-bit key of id and text, of two fast hashes."""
     one, two = (F.hex(F.xxhash64(F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit("-")), F.coalesce(F.col(text_col), F.lit("")))) for seed in (3, 5))
     return F.unhex(F.concat(F.lpad(one, 16, "0"), F.lpad(two, 16, "0")))
 
 
-EXTRA = {"bands": ("array<bigint>", pa.list_(pa.int64())), "payload": ("binary", pa.binary()), "place": ("bigint", pa.int64())}
+def _ids(keys: list[bytes]) -> np.ndarray:
+    """Short ids of nodes: their first eight bytes, the highest first."""
+    return np.frombuffer(b"".join(k[:8] for k in keys), ">i8").astype(np.int64)
+
+
+def _sketch(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """ids and buckets of the different lines of a batch of texts."""
+    for part in slices(batch.column(0), SLICE_BYTES):
+        found = sorted({x for t in part.to_pylist() if t for _, x in normal(t)})
+        if found:
+            yield _ids([node_of(x) for x in found]), signatures(found)
+
 
+def node_of(line: str) -> bytes:
+    """128-bit key of a normal form."""
+    return md5(line.encode("utf-8", "surrogatepass")).digest()
 
-def _exploded(docs: DataFrame, id_col: str, text_col: str, what: str) -> DataFrame:
-    """A row for each line that can be a copy: id, doc, line, node, and what: its bands, its normal
-    form (payload), or its place among them in the text."""
+
+def _in_order(ids: list, keys: list[bytes]) -> list[int]:
+    """Rows by id and key, those without an id last."""
+    some = sorted((i for i, x in enumerate(ids) if x is not None), key=lambda i: (ids[i], keys[i]))
+    return some + sorted((i for i, x in enumerate(ids) if x is None), key=keys.__getitem__)
+
+
+def line_places(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """id, doc, line, node and later of every line that can be a copy. later: an equal line comes before
+    it in the same batch of rows, so that it can't be the one that stays; a line that every row has is so
+    left once a batch."""
     kind = docs.schema[id_col].dataType
-    name, arrow = EXTRA[what]
-
-    def emit(found: list[tuple[int, int, str]], ids: pa.Array, keys: pa.Array) -> pa.RecordBatch:
-        texts = [x for *_, x in found]
-        data = [x.encode("utf-8", "surrogatepass") for x in texts]
-        rows = pa.array([r for r, *_ in found], pa.int64())
-        places = pa.array([i for _, i, _ in found], pa.int32())
-        if what == "bands":
-            value = pa.array(list(signatures(texts)) if texts else [], arrow)
-        else:
-            value = pa.array(data, arrow) if what == "payload" else places.cast(arrow)
-        return pa.RecordBatch.from_arrays([ids.take(rows), keys.take(rows), places, pa.array([md5(x).digest() for x in data], pa.binary()), value], ["id", "doc", "line", "node", what])
+    fields = ["id", "doc", "line", "node", "later"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            start = 0
-            for part in slices(batch.column(2), SLICE_BYTES):
-                found = [(r, i, x) for r, t in enumerate(part.to_pylist()) if t for i, x in normal(t)]
-                yield emit(found, batch.column(0).slice(start, len(part)), batch.column(1).slice(start, len(part)))
-                start += len(part)
+            ids, keys, texts = batch.columns
+            docs_ = keys.to_pylist()
+            # in the order in which lines stay: rows without an id come last
+            order = _in_order(ids.to_pylist(), docs_)
+            seen: dict[bytes, tuple[bytes, int]] = {}
+            rows, lines, nodes, later = [], [], [], []
+            for i in order:
+                doc = docs_[i]
+                for line, x in normal(texts[i].as_py() or ""):
+                    node = node_of(x)
+                    rows.append(i)
+                    lines.append(line)
+                    nodes.append(node)
+                    later.append(seen.setdefault(node, (doc, line)) != (doc, line))
+            at = pa.array(rows, pa.int64())
+            yield pa.RecordBatch.from_arrays([ids.take(at), keys.take(at), pa.array(lines, pa.int32()), pa.array(nodes, pa.binary()), pa.array(later, pa.bool_())], fields)
 
     rows = docs.select(F.col(id_col).alias("id"), document_key(id_col, text_col).alias("doc"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, f"id {kind.simpleString()}, doc binary, line int, node binary, {what} {name}")
+    return rows.mapInArrow(run, f"id {kind.simpleString()}, doc binary, line int, node binary, later boolean")
+
+
+def _payloads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """id, node and payload of the lines wanted (array of line, node) of each text."""
+    for batch in batches:
+        out = []
+        for text, wanted in zip(*(c.to_pylist() for c in batch.columns)):
+            lines = text.lower().split("\n")
+            out += [(w["node"], " ".join(lines[w["line"]].split()).encode("utf-8", "surrogatepass")) for w in wanted]
+        nodes, data = ([x[i] for x in out] for i in (0, 1))
+        yield pa.RecordBatch.from_arrays([pa.array(_ids(nodes)), pa.array(nodes, pa.binary()), pa.array(data, pa.binary())], ["id", "node", "payload"])
+
+
+#: The id of a node in Spark, as _ids gives it.
+SHORT = "cast(conv(hex(substring(node, 1, 8)), 16, -10) as long)"
 
 
 def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -143,24 +188,26 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def _dropped_lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    lines = _exploded(docs, id_col, text_col, "bands")
-    # any one document of a line will do to read the line again; its short hash aggregates fast
-    nodes = saved(lines.groupBy("node", "bands").agg(F.count("*").alias("n"), F.min(F.xxhash64("doc")).alias("in_doc")), "lines")
+    members = shared_buckets(docs.select(text_col), _sketch)
+    release(docs.sparkSession)
+    places = saved(line_places(docs, id_col, text_col), "places")
+    first = places.where("not later")
 
     def payloads(wanted: DataFrame) -> DataFrame:
-        need = saved(nodes.select("node", "in_doc").join(wanted, "node", "left_semi"), "wanted")
-        whole = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(document_key(id_col, text_col)).alias("in_doc"))
-        texts = whole.join(need.select("in_doc").distinct().hint("shuffle_hash"), "in_doc", "left_semi").select("id", "text")
-        again = _exploded(texts, "id", "text", "payload").select("node", F.xxhash64("doc").alias("in_doc"), "payload")
-        return again.join(need, ["node", "in_doc"], "left_semi").select("node", "payload").dropDuplicates(["node"])
-
-    roots = near_components(nodes.select("node", "bands"), payloads, shingle_set, alike, AT_ONCE)
-    several = nodes.select("node", "n").join(roots, "node", "left").where("n > 1 or root is not null").select("node", F.coalesce("root", "node").alias("root"))
+        # any one place of a line will do to read it again
+        one = first.select(F.expr(SHORT).alias("short"), "node", F.struct("doc", "line").alias("at")).join(wanted.withColumnRenamed("id", "short"), "short", "left_semi")
+        one = one.groupBy("node").agg(F.min("at").alias("at")).groupBy(F.col("at.doc").alias("in_doc")).agg(F.collect_list(F.struct("at.line", "node")).alias("wanted"))
+        whole = docs.select(document_key(id_col, text_col).alias("in_doc"), F.col(text_col).alias("text"))
+        texts = whole.join(one.hint("shuffle_hash"), "in_doc").select("text", "wanted")
+        return texts.mapInArrow(_payloads, "id long, node binary, payload binary").dropDuplicates(["node"])
+
+    roots = near_components(members, payloads, MATCHER)
+    counted = first.withColumn("n", F.count("*").over(Window.partitionBy("node"))).join(roots, "node", "left").where("n > 1 or root is not null")
     place = F.struct(F.col("id").isNull(), "id", "doc", "line")
-    copies = _exploded(docs, id_col, text_col, "place").join(several.hint("shuffle_hash"), "node").select("doc", "line", "root", place.alias("place"))
-    copies = saved(copies, "copies")
+    copies = saved(counted.select("doc", "line", F.coalesce("root", "node").alias("root"), place.alias("place")), "copies")
     stays = copies.groupBy("root").agg(F.min("place").alias("stays"))
-    return copies.join(stays, "root").where("place <> stays").select("doc", "line").distinct()
+    gone = copies.join(stays, "root").where("place <> stays").select("doc", "line")
+    return gone.union(places.where("later").select("doc", "line")).distinct()
 
 
 def _without(texts: pd.Series, gone: pd.Series) -> pd.Series:
@@ -175,10 +222,11 @@ def _without(texts: pd.Series, gone: pd.Series) -> pd.Series:
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", column: str = "dropped") -> DataFrame:
     """docs with only the lines that stay in text_col; column (array) has the places of those that
-    went, null where none did."""
-    gone = dropped_lines(docs, id_col, text_col).groupBy("doc").agg(F.sort_array(F.collect_list("line")).alias(column))
-    rows = docs.drop(column).withColumn("dedup_key", document_key(id_col, text_col))
-    rows = rows.join(gone.withColumnRenamed("doc", "dedup_key").hint("shuffle_hash"), "dedup_key", "left").drop("dedup_key")
+    went, null where none did. A column of that name is replaced; all others come along."""
+    docs = docs.drop(column)
+    key = free_name([*docs.columns, column], "dedup_key")
+    gone = dropped_lines(docs, id_col, text_col).groupBy(F.col("doc").alias(key)).agg(F.sort_array(F.collect_list("line")).alias(column))
+    rows = docs.withColumn(key, document_key(id_col, text_col)).join(gone.hint("shuffle_hash"), key, "left").drop(key)
     return rows.withColumn(text_col, F.pandas_udf(_without, "string")(text_col, column))
 
 
@@ -193,8 +241,10 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """docs with the lines that stay; n_chars, where it is there, follows the text."""
-    out = dedup(docs, column="dropped_line_places")
+    """docs with the lines that stay; n_chars, where it is there, follows the text. Further columns,
+    whatever their names, come along."""
+    places = free_name(docs.columns, "dropped_line_places")
+    out = dedup(docs, column=places)
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("dropped_line_places").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
+        out = out.withColumn("n_chars", F.when(F.col(places).isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
     return out.select(*docs.columns)

@@ -24,8 +24,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import distilled, saved, slices, table, text_key
-from .components import near_components
+from .common import distilled, free_name, saved, slices, table, text_key
+from .components import Matcher, near_components
+from .packed import shared_buckets
 from .words import BASE, lowered_words, mix, windows
 
 WORDS, HASHES, BANDS = 5, 40, 20
@@ -82,7 +83,7 @@ def order_minhash(grams: np.ndarray, first: np.ndarray) -> np.ndarray:
                 pair = np.where(one, label[at1], mix(label[a] * U(3)) + label[b])
                 bucket = mix(bucket * U(BASE) + pair)
             out[:, band] = bucket
-    return out.view(np.int64)
+    return out
 
 
 def aligned(a: list[int], b: list[int], band: int) -> int:
@@ -144,62 +145,67 @@ def near(a: np.ndarray, b: np.ndarray) -> bool:
     return head + tail + aligned(a2.tolist(), b2.tolist(), len(b) - need) >= need
 
 
-def _row_key(text: Column) -> Column:
-    return text_key(F.coalesce(text, F.lit("")))
+def features(codes: np.ndarray) -> np.ndarray:
+    """The codes with their occurrence numbers: no two are equal, and two sequences can't have more
+    aligned codes than they have of these in common."""
+    order = np.argsort(codes, kind="stable")
+    ranked = codes[order]
+    new = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
+    nth = np.empty(len(codes), np.uint64)
+    nth[order] = np.arange(len(codes)) - np.repeat(new, np.diff(np.append(new, len(codes))))
+    return nth << U(32) | codes.astype(np.uint64)
+
 
+MATCHER = Matcher(codes_of, near, features)
 
-def sketched(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, node (key of the text) and bands of every row."""
-    kind = docs.schema[id_col].dataType.simpleString()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            bands: list = []
-            for part in slices(batch.column(2), SLICE_BYTES):
-                grams, first = shingles(part)
-                rows = iter(order_minhash(grams, first) if len(grams) else ())
-                bands += [next(rows) if n else None for n in np.diff(first)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(bands, pa.list_(pa.int64()))], ["id", "node", "bands"])
+def _row_key(text: Column) -> Column:
+    return text_key(F.coalesce(text, F.lit("")))
 
-    rows = docs.select(docs[id_col].alias("id"), _row_key(docs[text_col]).alias("node"), docs[text_col].alias("text"))
-    return rows.mapInArrow(run, f"id {kind}, node binary, bands array<bigint>")
 
+def _sketch(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """ids and buckets of the texts of a batch (id, text) that have shingles."""
+    start = 0
+    for part in slices(batch.column(1), SLICE_BYTES):
+        ids = batch.column(0).slice(start, len(part)).to_numpy()
+        start += len(part)
+        grams, first = shingles(part)
+        if len(grams):
+            yield ids[np.diff(first) > 0], order_minhash(grams, first)
 
-def _codes(rows: DataFrame) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            start = 0
-            for part in slices(batch.column(1), SLICE_BYTES):
-                grams, first = shingles(part)
-                codes = (grams >> U(32)).astype("<u4")
-                payload = [codes[a:b].tobytes() for a, b in zip(first, first[1:])]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, len(part)), pa.array(payload, pa.binary())], ["node", "payload"])
-                start += len(part)
 
-    return rows.mapInArrow(run, "node binary, payload binary")
+def _codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        start = 0
+        for part in slices(batch.column(2), SLICE_BYTES):
+            grams, first = shingles(part)
+            codes = (grams >> U(32)).astype("<u4")
+            payload = pa.array([codes[a:b].tobytes() for a, b in zip(first, first[1:])], pa.binary())
+            yield pa.RecordBatch.from_arrays([*(batch.column(i).slice(start, len(part)) for i in (0, 1)), payload], ["id", "node", "payload"])
+            start += len(part)
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """For every different text of docs: node, class_id, least (its own least id), n_least (rows
+    that have it) and keeper (whether it is the one text of its class that stays)."""
     return distilled(docs.sparkSession, "classes", lambda: _classes(docs, id_col, text_col))
 
 
 def _classes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """For every different text of docs: node, class_id, least (its own least id), n_least (rows
-    that have it) and keeper (whether it is the one text of its class that stays)."""
-    sketches = saved(sketched(docs, id_col, text_col), "sketches")
-    ids = sketches.groupBy("node", "id").agg(F.count("*").alias("n"))
-    nodes = ids.groupBy("node").agg(F.min(F.struct(F.col("id").isNull(), "id", "n")).alias("m"))
-    nodes = saved(nodes.select("node", F.col("m.id").alias("least"), F.col("m.n").alias("n_least")), "nodes")
-    distinct = saved(sketches.where("bands is not null").groupBy("node", "bands").agg(F.count("*")).select("node", "bands"), "distinct")
+    texts = docs.select(docs[id_col].alias("doc"), _row_key(docs[text_col]).alias("node"), docs[text_col].alias("text"))
+    ids = texts.groupBy("node", "doc").agg(F.count("*").alias("n"))
+    nodes = ids.groupBy("node").agg(F.min(F.struct(F.col("doc").isNull(), "doc", "n")).alias("m"))
+    nodes = saved(nodes.select("node", F.col("m.doc").alias("least"), F.col("m.n").alias("n_least")), "nodes")
+    short = F.xxhash64("node").alias("id")
 
     def payloads(wanted: DataFrame) -> DataFrame:
         # one row of each text: that of least id, so that copies don't meet in one task
-        reps = nodes.join(wanted, "node", "left_semi").select("node", "least")
-        texts = docs.select(docs[id_col].alias("id"), _row_key(docs[text_col]).alias("key"), docs[text_col].alias("text"))
-        rows = texts.join(reps, (texts.key == reps.node) & texts.id.eqNullSafe(reps.least)).select("node", "text")
-        return _codes(rows).dropDuplicates(["node"])
+        reps = nodes.select(short, "node", "least").join(wanted, "id", "left_semi").select(F.col("node").alias("key"), "least")
+        rows = texts.join(reps, (texts.node == reps.key) & texts.doc.eqNullSafe(reps.least)).select(short, "node", "text")
+        return rows.mapInArrow(_codes, "id long, node binary, payload binary").dropDuplicates(["node"])
 
-    roots = near_components(distinct, payloads, codes_of, near)
+    members = shared_buckets(texts.select(short, "text"), _sketch)
+    roots = near_components(members, payloads, MATCHER)
     best = roots.join(nodes, "node").groupBy("root").agg(F.min(F.struct(F.col("least").isNull(), "least", "node")).alias("best"))
     linked = roots.join(best, "root").select("node", F.col("best.least").alias("linked_id"), F.col("best.node").alias("stays"))
     out = nodes.join(linked, "node", "left")
@@ -218,12 +224,14 @@ def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of docs for each class: that of least doc_id, which may be null, and text key."""
-    found = classes(docs.select("doc_id", "text"))
-    kept = found.where("keeper")
-    key = _row_key(docs["text"])
-    rows = docs.withColumn("kept_node", key)
-    on = (rows.kept_node == kept.node) & rows.doc_id.eqNullSafe(kept.least)
+    """One row of docs for each class: that of least doc_id, which may be null, and text key. Of
+    repeated rows one stays; further columns, whatever their names, come along."""
+    kept = classes(docs.select("doc_id", "text")).where("keeper")
+    key = free_name(docs.columns, "kept_node")
+    kept = kept.select(F.col("node").alias(key), "least", "n_least")
+    rows = docs.withColumn(key, _row_key(docs["text"])).alias("rows")
+    kept = kept.alias("kept")
+    on = (F.col(f"rows.{key}") == F.col(f"kept.{key}")) & F.col("rows.doc_id").eqNullSafe(F.col("kept.least"))
     once = rows.join(kept.where("n_least = 1"), on, "left_semi")
-    again = rows.join(kept.where("n_least > 1"), on, "left_semi").dropDuplicates(["kept_node"])
+    again = rows.join(kept.where("n_least > 1"), on, "left_semi").dropDuplicates([key])
     return once.unionByName(again).select(*docs.columns)
