@@ -17,6 +17,7 @@ Used with any sketch: the caller brings the members of shared buckets and a Matc
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -27,9 +28,9 @@ from pyspark.sql import functions as F
 
 from .common import distilled, release, saved, shuffle_partitions
 
-#: Members and bytes of payloads in a block, members of a hub that one task tests in one go, and
-#: entries of the inverted index that are counted in one go.
-BLOCK, BLOCK_BYTES, FANS, ENTRIES = 4096, 8 << 20, 4096, 1 << 21
+#: Members and bytes of payloads in a block, rows of two blocks up to which no index is made, members
+#: of a hub that one task tests in one go, and entries of the index that are counted in one go.
+BLOCK, BLOCK_BYTES, FEW, FANS, ENTRIES = 4096, 8 << 20, 16, 1024, 1 << 21
 
 
 @dataclass
@@ -37,8 +38,8 @@ class Matcher:
     """How two payloads are compared.
 
     prepare makes a payload ready for test, which says whether two that are ready are near
-    duplicates. features gives the different features of what is ready, as 64-bit numbers: where n
-    and m features have o in common, near duplicates always have o / (n + m - o) >= 4 / 5.
+    duplicates. features gives the different features of a payload, as 64-bit numbers: where n and
+    m features have o in common, near duplicates always have o / (n + m - o) >= 4 / 5.
     """
 
     prepare: Callable
@@ -133,56 +134,63 @@ class Common:
         return found[np.argsort(-both[found], kind="stable")]
 
 
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, list[dict]]]:
-    """Rows of sorted batches by (bucket, x, y)."""
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple]]]:
+    """x and the rows (rest, node, root, payload) of each (bucket, x, y) of sorted batches."""
     key, rows = None, []
     for batch in batches:
-        for row in batch.to_pylist():
-            k = (row["bucket"], row["x"], row["y"])
+        columns = [c.to_pylist() for c in batch.columns]
+        for k, row in zip(zip(*columns[:3]), zip(*columns[3:])):
             if k != key:
                 if rows:
-                    yield key, rows
+                    yield key[1], rows
                 key, rows = k, []
             rows.append(row)
     if rows:
-        yield key, rows
+        yield key[1], rows
 
 
-def block_links(rows: list[dict], inner: bool, matcher: Matcher) -> list[tuple[bytes, bytes]]:
-    """Links that join components among rows (node, root, payload, rest): of each row of the rest with
+def block_links(rows: list[tuple], inner: bool, matcher: Matcher) -> list[tuple[bytes, bytes]]:
+    """Links that join components among rows (rest, node, root, payload): of each row of the rest with
     those that aren't, and if inner with others of the rest."""
+    rest, nodes, roots, payloads = zip(*rows)
     number: dict[bytes, int] = {}
-    own = np.array([number.setdefault(r["root"], len(number)) for r in rows])
+    own = np.array([number.setdefault(r, len(number)) for r in roots])
     if len(number) == 1:
         return []
-    ready = [matcher.prepare(r["payload"]) for r in rows]
-    common = Common([matcher.features(x) for x in ready])
-    rest = np.array([r["rest"] for r in rows])
+    # an index pays where it spares many tests
+    common = Common([matcher.features(p) for p in payloads]) if len(rows) > FEW else None
+    ready = functools.cache(lambda k: matcher.prepare(payloads[k]))
     links = []
     for k in np.flatnonzero(rest).tolist():
-        for m in common.alike(k).tolist():
-            if own[m] != own[k] and (not rest[m] or (inner and m < k)) and matcher.test(ready[m], ready[k]):
-                links.append((rows[m]["node"], rows[k]["node"]))
+        found = np.arange(len(rows)) if common is None else common.alike(k)
+        for m in found[own[found] != own[k]].tolist():
+            if own[m] != own[k] and (not rest[m] or (inner and m < k)) and matcher.test(ready(m), ready(k)):
+                links.append((nodes[m], nodes[k]))
                 own[own == own[m]] = own[k]
     return links
 
 
 def _between_blocks(matcher: Matcher) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (_, x, _), rows in _groups(batches):
+        for x, rows in _groups(batches):
             if links := block_links(rows, x == 0, matcher):
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in zip(*links)], ["a", "b"])
 
     return run
 
 
-def near_components(members: DataFrame, payloads: Callable[[DataFrame], DataFrame], matcher: Matcher) -> DataFrame:
+def met_by_id(members: DataFrame) -> DataFrame:
+    """id and met of every member: how many others it meets over all its buckets."""
+    return saved(members.groupBy("id").agg(F.sum("met").alias("met")), "met")
+
+
+def near_components(members: DataFrame, met: DataFrame, payloads: Callable[[DataFrame], DataFrame], matcher: Matcher) -> DataFrame:
     """node and root of every node that is linked to another.
 
-    members: bucket and id (long) of what shares buckets. payloads: gives id, node (binary key, of
+    members: bucket and id (longs) of what shares buckets. met: met_by_id of them. payloads: gives id, node (binary key, of
     which id is a hash) and payload (binary) for the ids of a DataFrame, one row a node.
     """
-    return distilled(members.sparkSession, "roots", lambda: _near_components(members, payloads, matcher))
+    return distilled(members.sparkSession, "roots", lambda: _near_components(members.select("bucket", "id"), met, payloads, matcher))
 
 
 def _hub_links(members: DataFrame, hubs: DataFrame, held: DataFrame, matcher: Matcher) -> DataFrame:
@@ -220,17 +228,16 @@ def _block_rows(members: DataFrame, hubs: DataFrame, held: DataFrame, joined: Da
         F.transform(F.slice(upto(F.col("ys")), F.col("own") + 2, F.col("ys")), lambda y: row(-1 - F.col("own"), y, F.lit(False))),
     )
     rows = rows.withColumn("own", own).select("bucket", "id", "root", F.explode(F.when(F.col("rest"), rest).otherwise(main)).alias("at"))
-    return rows.join(held, "id").select("bucket", "at.x", "at.y", "at.rest", "node", F.coalesce("root", "node").alias("root"), "payload")
+    return rows.join(held, "id").select("bucket", "at.x", "at.y", "at.rest", "node", "root", "payload")
 
 
-def _near_components(members: DataFrame, payloads: Callable[[DataFrame], DataFrame], matcher: Matcher) -> DataFrame:
+def _near_components(members: DataFrame, met: DataFrame, payloads: Callable[[DataFrame], DataFrame], matcher: Matcher) -> DataFrame:
     spark = members.sparkSession
-    held = saved(payloads(members.select("id").distinct()), "payloads")
+    held = saved(payloads(met.select("id")), "payloads")
     release(spark)
-    sizes = members.groupBy("bucket").agg(F.count("*").alias("n"))
-    met = members.join(sizes, "bucket").groupBy("id").agg(F.sum("n").alias("met"))
-    hubs = members.join(met, "id").groupBy("bucket").agg(F.max(F.struct("met", "id")).alias("top"), F.min("id").alias("second"), F.count("*").alias("n"))
-    hubs = saved(hubs.select("bucket", F.col("top.id").alias("hub"), "second", "n"), "tops")
+    # which of two that meet as many is the hub makes no difference to the result
+    hubs = members.join(met, "id").groupBy("bucket").agg(F.max_by("id", "met").alias("hub"), F.min("id").alias("second"), F.count("*").alias("n"))
+    hubs = saved(hubs, "tops")
     links = _hub_links(members, hubs, held, matcher)
     left = _block_rows(members, hubs, held, connected_components(links))
     left = left.repartition(shuffle_partitions(spark), "bucket", "x", "y").sortWithinPartitions("bucket", "x", "y", "node")

@@ -14,6 +14,7 @@ text count as one document and keep the same lines; rows without doc_id come las
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from hashlib import md5
 
@@ -24,37 +25,50 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import distilled, free_name, release, saved, slices, table
-from .components import Matcher, near_components
-from .packed import shared_buckets
+from .components import Matcher, met_by_id, near_components
+from .packed import FILTER_BITS, id_filter, shared_buckets
 from .words import BASE, mix
 
 SHINGLE, JACCARD, MIN_CHARS = 8, 0.8, 8
 #: Of pairs with a similarity of 0.8, all but 3 in 100,000 share a bucket, of 0.85 all but 4 in 10,000,000.
 BANDS, ROWS = 20, 4
 SLICE_BYTES = 1 << 18
-U, U32, MASK = np.uint64, np.uint32, 2**64 - 1
+U, U32, BASE32 = np.uint64, np.uint32, 0x9E3779B1
 
 
 def normal(text: str) -> list[tuple[int, str]]:
     """Place and normal form of the lines that can be copies."""
-    out = []
-    for i, line in enumerate(text.lower().split("\n")):
-        if len(line) >= MIN_CHARS and len(n := " ".join(line.split())) >= MIN_CHARS:
+    text, out = text.lower(), []
+    # of all white space, only the plain space is printable
+    plain = "  " not in text and text.replace("\n", "").isprintable()
+    for i, line in enumerate(text.split("\n")):
+        if len(line) >= MIN_CHARS and len(n := line.strip() if plain else " ".join(line.split())) >= MIN_CHARS:
             out.append((i, n))
     return out
 
 
+def _mixed(h: np.ndarray) -> np.ndarray:
+    """A bijection of 32-bit numbers that spreads every bit, in place."""
+    t = h >> U32(16)
+    for factor, shift in ((0x85EBCA6B, 13), (0xC2B2AE35, 16)):
+        h ^= t
+        h *= U32(factor)
+        np.right_shift(h, U32(shift), out=t)
+    h ^= t
+    return h
+
+
 def signatures(lines: list[str]) -> np.ndarray:
     """BANDS buckets of each line; lines have at least SHINGLE characters."""
-    codes = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    codes = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32)
     size = np.array([len(x) for x in lines])
     ends = np.cumsum(size)
     with np.errstate(over="ignore"):
-        h, k, base = codes, 1, BASE
+        h, k, base = _mixed(codes + U32(1)), 1, BASE32
         while k < SHINGLE:  # windows of twice the length each time
-            h = h[:-k] * U(base) + h[k:]
-            k, base = 2 * k, base * base & (2**64 - 1)
-        h = (mix(h) >> U(32)).astype(np.uint32)
+            h = h[:-k] * U32(base) + h[k:]
+            k, base = 2 * k, base * base & 0xFFFFFFFF
+        h = _mixed(h)
         inside = np.ones(len(codes), bool)
         inside[(ends[:, None] - np.arange(1, SHINGLE)).ravel()] = False  # windows that leave their line
         h = h[inside[: len(h)]]
@@ -72,13 +86,26 @@ def signatures(lines: list[str]) -> np.ndarray:
     return out
 
 
-def shingle_set(payload: bytes) -> tuple[set | None, bytes]:
-    """The shingles of a line as 64-bit numbers, if its characters have a byte each, and the line."""
+def shingle_set(payload: bytes) -> tuple[np.ndarray | None, bytes]:
+    """The different shingles of a line as sorted 64-bit numbers, if its characters have a byte each,
+    and the line."""
+    x = _one_byte(payload)
+    return None if x is None else _shingles(x), payload
+
+
+def _shingles(line: bytes) -> np.ndarray:
+    h = np.sort(np.ndarray((len(line) - SHINGLE + 1,), "<u8", line, 0, (1,)))
+    return h[np.concatenate([[True], h[1:] != h[:-1]])]
+
+
+def _one_byte(payload: bytes) -> bytes | None:
+    """The line with a byte for each character, if its characters have one."""
+    if payload.isascii():
+        return payload
     try:
-        x = payload.decode("utf-8").encode("latin-1")
+        return payload.decode("utf-8").encode("latin-1")
     except UnicodeError:
-        return None, payload
-    return set(np.ndarray((len(x) - SHINGLE + 1,), "<u8", x, 0, (1,)).tolist()), payload
+        return None
 
 
 def _strings(payload: bytes) -> set[str]:
@@ -86,7 +113,7 @@ def _strings(payload: bytes) -> set[str]:
     return {x[i : i + SHINGLE] for i in range(len(x) - SHINGLE + 1)}
 
 
-def alike(a: tuple[set | None, bytes], b: tuple[set | None, bytes]) -> bool:
+def alike(a: tuple[np.ndarray | None, bytes], b: tuple[np.ndarray | None, bytes]) -> bool:
     """Whether two lines have a Jaccard similarity of JACCARD or more."""
     p, q = a[0], b[0]
     if p is None or q is None:
@@ -94,14 +121,22 @@ def alike(a: tuple[set | None, bytes], b: tuple[set | None, bytes]) -> bool:
     n, m = len(p), len(q)
     if min(n, m) < JACCARD * max(n, m):
         return False
-    both = len(p & q)
+    if isinstance(p, set):
+        both = len(p & q)
+    else:
+        all_ = np.concatenate([p, q])
+        all_.sort()
+        both = int(np.count_nonzero(all_[1:] == all_[:-1]))
     return both >= JACCARD * (n + m - both)
 
 
-def features(line: tuple[set | None, bytes]) -> np.ndarray:
-    """The shingles as 64-bit numbers."""
-    x = _strings(line[1]) if line[0] is None else line[0]
-    return np.fromiter((hash(i) & MASK for i in x) if line[0] is None else x, np.uint64, len(x))
+def features(payload: bytes) -> np.ndarray:
+    """The different shingles as 64-bit numbers, alike for lines of either kind."""
+    x = _one_byte(payload)
+    if x is None:
+        short = {s.encode("latin-1") if max(s) < "\u0100" else hashlib.blake2b(s.encode("utf-8", "surrogatepass"), digest_size=8).digest() for s in _strings(payload)}
+        return np.frombuffer(b"".join(sorted(short)), "<u8")
+    return _shingles(x)
 
 
 MATCHER = Matcher(shingle_set, alike, features)
@@ -118,12 +153,22 @@ def _ids(keys: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(k[:8] for k in keys), ">i8").astype(np.int64)
 
 
-def _sketch(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """ids and buckets of the different lines of a batch of texts."""
+def _sketch(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """ids and buckets of the different lines of a batch of texts, and ids of those that stand there
+    more than once."""
+    seen: set[bytes] = set()
     for part in slices(batch.column(0), SLICE_BYTES):
-        found = sorted({x for t in part.to_pylist() if t for _, x in normal(t)})
-        if found:
-            yield _ids([node_of(x) for x in found]), signatures(found)
+        new: dict[bytes, str] = {}
+        again = set()
+        for _, x in (line for t in part.to_pylist() if t for line in normal(t)):
+            node = node_of(x)
+            if node in seen:
+                again.add(node)
+            else:
+                seen.add(node)
+                new[node] = x
+        if new or again:
+            yield _ids(list(new)), signatures(list(new.values())) if new else np.zeros((0, BANDS), np.uint64), _ids(list(again))
 
 
 def node_of(line: str) -> bytes:
@@ -137,45 +182,40 @@ def _in_order(ids: list, keys: list[bytes]) -> list[int]:
     return some + sorted((i for i, x in enumerate(ids) if x is None), key=keys.__getitem__)
 
 
-def line_places(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id, doc, line, node and later of every line that can be a copy. later: an equal line comes before
-    it in the same batch of rows, so that it can't be the one that stays; a line that every row has is so
-    left once a batch."""
+def line_places(docs: DataFrame, id_col: str, text_col: str, near: bytes, repeated: bytes) -> DataFrame:
+    """id, doc, line, node, payload and later of every line whose id is in one of two filters. payload
+    (the normal form) is there for ids in near. later: an equal line comes before it in the same
+    batch of rows, so that it can't be the one that stays; a line that every row has is so left
+    once a batch."""
     kind = docs.schema[id_col].dataType
-    fields = ["id", "doc", "line", "node", "later"]
+    fields = {"doc": pa.binary(), "line": pa.int32(), "node": pa.binary(), "payload": pa.binary(), "later": pa.bool_()}
+    sent = docs.sparkSession.sparkContext.broadcast((near, repeated))
+    last = FILTER_BITS - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted, several = sent.value
         for batch in batches:
             ids, keys, texts = batch.columns
             docs_ = keys.to_pylist()
-            # in the order in which lines stay: rows without an id come last
-            order = _in_order(ids.to_pylist(), docs_)
             seen: dict[bytes, tuple[bytes, int]] = {}
-            rows, lines, nodes, later = [], [], [], []
-            for i in order:
+            at, rows = [], []
+            for i in _in_order(ids.to_pylist(), docs_):
                 doc = docs_[i]
                 for line, x in normal(texts[i].as_py() or ""):
-                    node = node_of(x)
-                    rows.append(i)
-                    lines.append(line)
-                    nodes.append(node)
-                    later.append(seen.setdefault(node, (doc, line)) != (doc, line))
-            at = pa.array(rows, pa.int64())
-            yield pa.RecordBatch.from_arrays([ids.take(at), keys.take(at), pa.array(lines, pa.int32()), pa.array(nodes, pa.binary()), pa.array(later, pa.bool_())], fields)
+                    data = x.encode("utf-8", "surrogatepass")
+                    node = md5(data).digest()
+                    bit = int.from_bytes(node[:8], "big") & last
+                    byte, bit = bit >> 3, 1 << (bit & 7)
+                    if wanted[byte] & bit or several[byte] & bit:
+                        later = seen.setdefault(node, (doc, line)) != (doc, line)
+                        at.append(i)
+                        rows.append((doc, line, node, data if wanted[byte] & bit and not later else None, later))
+            if rows:
+                columns = [pa.array(x, t) for x, t in zip(zip(*rows), fields.values())]
+                yield pa.RecordBatch.from_arrays([ids.take(pa.array(at, pa.int64())), *columns], ["id", *fields])
 
     rows = docs.select(F.col(id_col).alias("id"), document_key(id_col, text_col).alias("doc"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, f"id {kind.simpleString()}, doc binary, line int, node binary, later boolean")
-
-
-def _payloads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """id, node and payload of the lines wanted (array of line, node) of each text."""
-    for batch in batches:
-        out = []
-        for text, wanted in zip(*(c.to_pylist() for c in batch.columns)):
-            lines = text.lower().split("\n")
-            out += [(w["node"], " ".join(lines[w["line"]].split()).encode("utf-8", "surrogatepass")) for w in wanted]
-        nodes, data = ([x[i] for x in out] for i in (0, 1))
-        yield pa.RecordBatch.from_arrays([pa.array(_ids(nodes)), pa.array(nodes, pa.binary()), pa.array(data, pa.binary())], ["id", "node", "payload"])
+    return rows.mapInArrow(run, f"id {kind.simpleString()}, doc binary, line int, node binary, payload binary, later boolean")
 
 
 #: The id of a node in Spark, as _ids gives it.
@@ -188,20 +228,20 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def _dropped_lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    members = shared_buckets(docs.select(text_col), _sketch)
+    found = shared_buckets(docs.select(text_col), _sketch, repeats=True)
     release(docs.sparkSession)
-    places = saved(line_places(docs, id_col, text_col), "places")
+    members = found.where("bucket is not null")
+    # the filters have a fixed size: where they are full, all lines pass, and joins do their work
+    met = met_by_id(members)
+    near, repeated = id_filter(met), id_filter(found.where("bucket is null"))
+    places = saved(line_places(docs, id_col, text_col, near, repeated), "places")
     first = places.where("not later")
 
     def payloads(wanted: DataFrame) -> DataFrame:
-        # any one place of a line will do to read it again
-        one = first.select(F.expr(SHORT).alias("short"), "node", F.struct("doc", "line").alias("at")).join(wanted.withColumnRenamed("id", "short"), "short", "left_semi")
-        one = one.groupBy("node").agg(F.min("at").alias("at")).groupBy(F.col("at.doc").alias("in_doc")).agg(F.collect_list(F.struct("at.line", "node")).alias("wanted"))
-        whole = docs.select(document_key(id_col, text_col).alias("in_doc"), F.col(text_col).alias("text"))
-        texts = whole.join(one.hint("shuffle_hash"), "in_doc").select("text", "wanted")
-        return texts.mapInArrow(_payloads, "id long, node binary, payload binary").dropDuplicates(["node"])
-
-    roots = near_components(members, payloads, MATCHER)
+        rows = first.where("payload is not null").select(F.expr(SHORT).alias("id"), "node", "payload")
+        return rows.join(wanted, "id", "left_semi").dropDuplicates(["id", "node"])
+
+    roots = near_components(members, met, payloads, MATCHER)
     counted = first.withColumn("n", F.count("*").over(Window.partitionBy("node"))).join(roots, "node", "left").where("n > 1 or root is not null")
     place = F.struct(F.col("id").isNull(), "id", "doc", "line")
     copies = saved(counted.select("doc", "line", F.coalesce("root", "node").alias("root"), place.alias("place")), "copies")
@@ -231,11 +271,11 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", colum
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.col("text").alias("whole"))
-    out = dedup(docs)
-    lines = F.size(F.split(F.coalesce("whole", F.lit("")), "\n", -1)).cast("long")
+    """doc_id, n_lines, n_dropped, the SHA-256 of the text that stays, and the places that went."""
+    lines = F.size(F.split(F.coalesce("text", F.lit("")), "\n", -1)).cast("long")
+    out = dedup(table(spark, sf_dir, "documents").select("doc_id", "text", lines.alias("n_lines")))
     return out.select(
-        "doc_id", lines.alias("n_lines"), F.coalesce(F.size("dropped"), F.lit(0)).cast("long").alias("n_dropped"),
+        "doc_id", "n_lines", F.coalesce(F.size("dropped"), F.lit(0)).cast("long").alias("n_dropped"),
         F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"), F.array_join("dropped", ",").alias("dropped"),
     )
 

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import distilled, free_name, saved, slices, table, text_key
-from .components import Matcher, near_components
+from .components import Matcher, met_by_id, near_components
 from .packed import shared_buckets
 from .words import BASE, lowered_words, mix, windows
 
@@ -145,9 +145,10 @@ def near(a: np.ndarray, b: np.ndarray) -> bool:
     return head + tail + aligned(a2.tolist(), b2.tolist(), len(b) - need) >= need
 
 
-def features(codes: np.ndarray) -> np.ndarray:
+def features(payload: bytes) -> np.ndarray:
     """The codes with their occurrence numbers: no two are equal, and two sequences can't have more
     aligned codes than they have of these in common."""
+    codes = codes_of(payload)
     order = np.argsort(codes, kind="stable")
     ranked = codes[order]
     new = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
@@ -163,7 +164,7 @@ def _row_key(text: Column) -> Column:
     return text_key(F.coalesce(text, F.lit("")))
 
 
-def _sketch(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _sketch(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """ids and buckets of the texts of a batch (id, text) that have shingles."""
     start = 0
     for part in slices(batch.column(1), SLICE_BYTES):
@@ -171,7 +172,7 @@ def _sketch(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         start += len(part)
         grams, first = shingles(part)
         if len(grams):
-            yield ids[np.diff(first) > 0], order_minhash(grams, first)
+            yield ids[np.diff(first) > 0], order_minhash(grams, first), ids[:0]
 
 
 def _codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -205,7 +206,7 @@ def _classes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         return rows.mapInArrow(_codes, "id long, node binary, payload binary").dropDuplicates(["node"])
 
     members = shared_buckets(texts.select(short, "text"), _sketch)
-    roots = near_components(members, payloads, MATCHER)
+    roots = near_components(members, met_by_id(members), payloads, MATCHER)
     best = roots.join(nodes, "node").groupBy("root").agg(F.min(F.struct(F.col("least").isNull(), "least", "node")).alias("best"))
     linked = roots.join(best, "root").select("node", F.col("best.least").alias("linked_id"), F.col("best.node").alias("stays"))
     out = nodes.join(linked, "node", "left")

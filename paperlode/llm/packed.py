@@ -27,10 +27,13 @@ RUN, CHUNK = 1 << 21, 1 << 16
 #: Bits of a bucket within its range; with the range's number they name it. Two buckets of one name
 #: only make further candidates.
 BITS = 40
-SINGLE, MARK, MEMBERS = 0, 1, 2
+SINGLE, MARK, MEMBERS, PLACES = 0, 1, 2, 3
 FIELDS = {"part": pa.int32(), "kind": pa.int32(), "low": pa.binary(), "high": pa.binary(), "ids": pa.binary()}
 SCHEMA = "part int, kind int, low binary, high binary, ids binary"
 
+#: Bits of a filter (8 MB).
+FILTER_BITS = 1 << 26
+
 Sketch = Callable[[pa.RecordBatch], Iterator[tuple[np.ndarray, np.ndarray]]]
 
 
@@ -46,9 +49,10 @@ def names_of(buckets: np.ndarray, parts: int) -> np.ndarray:
     return (high * np.uint64(parts) >> np.uint64(32)) << np.uint64(BITS) | low
 
 
-def packed_run(ids: np.ndarray, bands: np.ndarray, parts: int) -> pa.RecordBatch:
-    """Rows of SCHEMA for the ids (int64) and bands (uint64, a row an id) of a run."""
-    ids, first = np.unique(ids, return_index=True)
+def packed_run(ids: np.ndarray, bands: np.ndarray, again: np.ndarray | None, parts: int) -> pa.RecordBatch:
+    """Rows of SCHEMA for the ids (int64) and bands (uint64, a row an id) of a run; again: ids that it
+    has once more, or None where no one asks for repeated ids."""
+    ids, first, n = np.unique(ids, return_index=True, return_counts=True)
     names, owner = names_of(bands[first].ravel(), parts), np.repeat(ids, bands.shape[1])
     order = np.argsort(names)
     names, owner = names[order], owner[order]
@@ -68,15 +72,29 @@ def packed_run(ids: np.ndarray, bands: np.ndarray, parts: int) -> pa.RecordBatch
     for s in range(0, len(names), CHUNK):
         to = int(owner[s].astype(np.uint64) % np.uint64(parts))
         rows.append((to, MEMBERS, names[s : s + CHUNK].tobytes(), None, owner[s : s + CHUNK].tobytes()))
+    if again is not None:
+        more = np.unique(np.concatenate([again, ids[n > 1]]))
+        ids = np.sort(np.concatenate([ids, more]).view(np.uint64))
+        part = (ids >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
+        rows += [(int(part[s]), PLACES, None, None, ids[s : s + n].tobytes()) for s, n in zip(*_runs(part))]
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(FIELDS.values())], list(FIELDS))
 
 
-def shared_members(parts_of: list[tuple[int, int, bytes, bytes, bytes]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """bucket and id of the members of shared buckets, of the rows of one range or more."""
+def shared_members(parts_of: list[tuple[int, int, bytes, bytes, bytes]]) -> Iterator[tuple[np.ndarray | None, np.ndarray, np.ndarray]]:
+    """bucket, id and met of the members of shared buckets, of the rows of one range or more; ids that
+    come more than once without a bucket. met: how many members the bucket has, as far as seen."""
+    placed = [np.frombuffer(ids, "<i8") for _, kind, _, _, ids in parts_of if kind == PLACES]
+    if placed:
+        ids, n = np.unique(np.concatenate(placed), return_counts=True)
+        yield None, ids[n > 1], n[n > 1]
     names, owner, marks = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
     for part, kind, low, high, ids in parts_of:
+        if kind == PLACES:
+            continue
         if kind == MEMBERS:
-            yield np.frombuffer(low, "<i8"), np.frombuffer(ids, "<i8")
+            names_ = np.frombuffer(low, "<i8")
+            _, size = _runs(names_)
+            yield names_, np.frombuffer(ids, "<i8"), np.repeat(size, size)
             continue
         name = np.uint64(part << BITS) | np.frombuffer(high, np.uint8).astype(np.uint64) << np.uint64(32) | np.frombuffer(low, "<u4").astype(np.uint64)
         if kind == MARK:
@@ -96,35 +114,53 @@ def shared_members(parts_of: list[tuple[int, int, bytes, bytes, bytes]]) -> Iter
         name, ids = name[order], ids[order]
         new = np.ones(len(name), bool)
         new[1:] = (name[1:] != name[:-1]) | (ids[1:] != ids[:-1])
-        yield name[new].view(np.int64), ids[new]
+        name, ids = name[new], ids[new]
+        _, size = _runs(name)
+        yield name.view(np.int64), ids, np.repeat(size, size)
 
 
-def shared_buckets(rows: DataFrame, sketch: Sketch) -> DataFrame:
+def shared_buckets(rows: DataFrame, sketch: Sketch, repeats: bool = False) -> DataFrame:
     """bucket and id (long) of all members of buckets that several ids share; a member that stands in
-    several runs may come more than once.
+    several runs may come more than once. With repeats, also every id that sketch gives more than
+    once, with a null bucket. met is about the number of a bucket's members.
 
-    sketch gives, for a batch of rows, ids (int64) and their buckets (uint64, as many for each id);
-    equal ids have equal buckets. A task holds the entries of its range, so there are as many
-    ranges as shuffle partitions.
+    sketch gives, for a batch of rows, ids (int64), their buckets (uint64, as many for each id)
+    and ids that it gives once more, without buckets; equal ids have equal buckets. A task holds
+    the entries of its range, so there are as many ranges as shuffle partitions.
     """
     parts = shuffle_partitions(rows.sparkSession)
 
+    def run(held: list[tuple]) -> pa.RecordBatch:
+        ids, bands, again = (np.concatenate(x) for x in zip(*held))
+        return packed_run(ids, bands, again if repeats else None, parts)
+
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
         for batch in batches:
-            for ids, bands in sketch(batch):
-                held.append((ids, bands))
-                n += bands.size
+            for got in sketch(batch):
+                held.append(got)
+                n += got[1].size
                 if n >= RUN:
-                    yield packed_run(*map(np.concatenate, zip(*held)), parts)
+                    yield run(held)
                     held, n = [], 0
         if n:
-            yield packed_run(*map(np.concatenate, zip(*held)), parts)
+            yield run(held)
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = [row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns))]
-        for buckets, ids in shared_members(got):
-            yield pa.RecordBatch.from_arrays([pa.array(buckets), pa.array(ids)], ["bucket", "id"])
+        for buckets, ids, met in shared_members(got):
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(ids), pa.int64()) if buckets is None else pa.array(buckets), pa.array(ids), pa.array(met)], ["bucket", "id", "met"])
 
     packed = rows.mapInArrow(spread, SCHEMA).repartitionById(parts, F.col("part"))
-    return saved(packed.mapInArrow(gather, "bucket long, id long"), "members")
+    return saved(packed.mapInArrow(gather, "bucket long, id long, met long"), "members")
+
+
+def id_filter(ids: DataFrame) -> bytes:
+    """A bitmap of FILTER_BITS with the bit of every id of ids set, whatever their number; the bits of
+    others may be set as well."""
+    at = F.pmod("id", F.lit(FILTER_BITS))
+    maps = ids.groupBy(F.shiftright(at, 15).cast("int").alias("page")).agg(F.bitmap_construct_agg(at.bitwiseAND(F.lit(32767))).alias("bits"))
+    out = np.zeros((FILTER_BITS >> 15, 4096), np.uint8)
+    for row in maps.collect():  # at most FILTER_BITS / 8 bytes
+        out[row.page] = np.frombuffer(bytes(row.bits), np.uint8)
+    return out.tobytes()

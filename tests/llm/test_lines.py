@@ -35,6 +35,7 @@ def brute(docs):
 @pytest.mark.parametrize("block", [128, 3])
 def test_equals_brute_force(spark, monkeypatch, block):
     monkeypatch.setattr(components, "BLOCK", block)
+    monkeypatch.setattr(components, "FEW", block // 8)
     r = random.Random(6)
     word = lambda: "".join(r.choice("abcdefghijklmnop") for _ in range(r.randint(2, 8)))
     base = [" ".join(word() for _ in range(r.randint(6, 40))) for _ in range(25)]
@@ -80,7 +81,7 @@ def test_long_line_and_non_latin():
     r = random.Random(1)
     base = "".join(r.choice("crème brûlée at ono") for _ in range(200))
     latin = [lines.shingle_set(t.encode()) for t in (base, base + "日本語", "something else " * 9)]
-    assert latin[0][0] and lines.alike(latin[0], latin[1]) and not lines.alike(latin[0], latin[2])
+    assert latin[0][0] is not None and lines.alike(latin[0], latin[1]) and not lines.alike(latin[0], latin[2])
 
 
 def test_pairs_at_the_threshold_share_a_bucket():

@@ -83,6 +83,7 @@ def test_classes_equal_brute_force(spark):
 def test_large_group_needs_no_hub(spark, monkeypatch):
     """Copies that are near in a chain only: blocks find the links that two hubs miss."""
     monkeypatch.setattr(c, "BLOCK", 8)
+    monkeypatch.setattr(c, "FEW", 3)
     r = random.Random(9)
     base = [f"w{i}" for i in range(200)]
     chain = [base]
