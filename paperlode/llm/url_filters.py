@@ -1,25 +1,32 @@
 """URL filters by a sort-merge range join.
 
 A rule is (action, host, path): it fits its host and all subdomains of it where the url's path
-starts with the rule's path. With the host's labels reversed, "all paths that start with p at
-host h" is one interval of the sorted keys ``reversed(h) / p``. Every url is looked up once for
-each ancestor of its host that has rules; each such host is swept once in key order, with a stack
-of the active nested rules, whose top is the longest that fits.
+starts with the rule's path. Hosts are keyed by their labels in reverse, so that a host and all its
+subdomains are one interval of the sorted keys, and intervals of rules are nested or apart. Rules
+and the different (host, path) of the urls are sorted together by that key and path and dealt out by
+ranges. One sweep over a range keeps a stack of the hosts with rules that are open at the key; each
+holds its rules' paths sorted, every path with the next shorter one that it starts with, so that the
+longest that fits is found from the place of the url's path among them. A range starts with the
+rules that are open at its first key: of each range only that key's ancestors are looked up.
+
+A host of many urls is spread over ranges by path, and repeated urls are judged once.
 
 Results for odd input: a null url, or one without ``://``, has an empty host and path, fits no
 rule and gets the default verdict; repeated urls each get their row; rules given twice count once
-(a ``block`` wins over an ``allow`` of the same host and path).
+(a ``block`` wins over an ``allow`` of the same host and path); rules without action or host don't
+count. Other columns come along; those named host, path, rule or verdict are replaced.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import shuffle_partitions, table
+from .common import saved, shuffle_partitions, table
 
 #: Rules of the registered query: action, host, path.
 RULES = [
@@ -30,11 +37,6 @@ RULES = [
     ("block", "net", "/fr/"),
 ]
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Rows of one host that one sweep takes at least; a host with more is dealt to several sweeps,
-#: each with as many rows as the host has rules, so that copies of rules are never more than rows.
-ROWS_PER_SWEEP = 1_000
-
-
 def url_host(url: Column) -> Column:
     rest = F.regexp_extract(url, r"(?s)^.*?://([^/?#]*)", 1)
     return F.coalesce(F.translate(rest, UPPER, LOWER), F.lit(""))
@@ -48,78 +50,96 @@ def rules_frame(spark: SparkSession, rules: Sequence[tuple[str, str, str]]) -> D
     return spark.createDataFrame(list(rules), "action string, host string, path string")
 
 
-def reversed_host(host: Column) -> Column:
-    return F.array_join(F.reverse(F.split(host, r"\.")), ".")
+def reversed_labels(host: Column) -> Column:
+    return F.reverse(F.split(host, r"\.", -1))
+
+
+class OpenHost:
+    """The rules of one host; paths come in sorted order."""
+
+    def __init__(self, labels: list[str]):
+        self.labels, self.size, self.name = labels, len(labels), ".".join(reversed(labels))
+        self.paths: list[str] = []
+        self.actions: list[str] = []
+        self.shorter: list[int] = []
 
+    def add(self, path: str, action: str) -> None:
+        if self.paths and self.paths[-1] == path:
+            return
+        self.shorter.append(self.find(path))
+        self.paths.append(path)
+        self.actions.append(action)
 
-def _sweep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows come sorted by group, key and kind (rules first). Memory: the stack of nested rules."""
-    group, stack = None, []
-    for pdf in batches:
+    def find(self, path: str) -> int:
+        """The longest of the paths that path starts with, or -1."""
+        i = bisect_right(self.paths, path) - 1
+        while i >= 0 and not path.startswith(self.paths[i]):
+            i = self.shorter[i]
+        return i
+
+
+def _sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (part, labels, path, action, host) come sorted by part, labels, rules first, path."""
+    stack: list[OpenHost] = []
+    at, labels = None, None
+    for batch in batches:
         out = []
-        for rev, salt, path, host, url_path_, action in zip(pdf.rev, pdf.salt, pdf.path, pdf.host, pdf.url_path, pdf.action):
-            if group != (rev, salt):
-                group, stack = (rev, salt), []
-            while stack and not path.startswith(stack[-1][0]):
-                stack.pop()
+        for part, key, path, action, host in zip(*(c.to_pylist() for c in batch.columns)):
+            if part != at:
+                at, labels, stack = part, None, []
+            if key != labels:
+                labels = key
+                while stack and stack[-1].labels != key[: stack[-1].size]:
+                    stack.pop()
             if action is not None:
-                stack.append((path, action))
-            elif stack:
-                out.append((host, url_path_, rev, *stack[-1]))
-        yield pd.DataFrame(out, columns=["host", "path", "rule_rev", "rule_path", "action"])
+                if not stack or stack[-1].labels != key:
+                    stack.append(OpenHost(key))
+                stack[-1].add(path, action)
+                continue
+            best, size = None, -1
+            for x in stack:
+                i = x.find(path)
+                if i >= 0 and len(x.name) + len(x.paths[i]) >= size:
+                    best, size = (x.name + x.paths[i], x.actions[i]), len(x.name) + len(x.paths[i])
+            if best:
+                out.append((host, path, *best))
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.string()) for x in zip(*out)], ["host", "path", "rule", "action"])
+
+
+def matches(pairs: DataFrame, rules: DataFrame) -> DataFrame:
+    """host, path, rule and action of the pairs (host, path) that some rule fits; no pair twice."""
+    parts = shuffle_partitions(pairs.sparkSession)
+    rules = (
+        rules.where("action is not null and host is not null and host <> ''")
+        .groupBy(F.translate("host", UPPER, LOWER).alias("name"), F.coalesce("path", F.lit("")).alias("path"))
+        .agg(F.max("action").alias("action"))
+        .select(reversed_labels(F.col("name")).alias("labels"), "path", "action", F.lit(None).cast("string").alias("host"))
+    )
+    urls = pairs.where("host <> ''").select(reversed_labels(F.col("host")).alias("labels"), "path", F.lit(None).cast("string").alias("action"), "host")
+    ranges = rules.unionByName(urls).repartitionByRange(parts, "labels", "path").select(F.spark_partition_id().alias("part"), "labels", "path", "action", "host")
+    ranges = saved(ranges, "ranges")
+    # rules of earlier ranges that are open where a range begins
+    first = ranges.groupBy("part").agg(F.min("labels").alias("first"))
+    above = first.select("part", F.explode(F.transform(F.sequence(F.lit(1), F.size("first")), lambda n: F.slice("first", 1, n))).alias("labels"))
+    carried = rules.join(above, "labels").select("part", "labels", "path", "action", "host")
+    rows = ranges.unionByName(carried).repartitionById(parts, F.col("part"))
+    rows = rows.sortWithinPartitions("part", "labels", F.col("action").isNull(), "path")
+    return rows.mapInArrow(_sweep, "host string, path string, rule string, action string")
 
 
 def judge(urls: DataFrame, rules: DataFrame, url_col: str = "url", default: str = "allow") -> DataFrame:
     """All rows and columns of urls, with host, path, rule ("host/path" or null) and verdict.
 
-    The longest rule is the one of most characters, of equally long ones the deeper host's. Columns
-    of urls named host, path, rule or verdict are replaced.
+    The longest rule is the one of most characters, of equally long ones the deeper host's.
     """
-    spark = urls.sparkSession
-    parts = shuffle_partitions(spark)
-    urls = urls.drop("host", "path", "rule", "verdict")
-    urls = urls.withColumn("host", url_host(urls[url_col])).withColumn("path", url_path(urls[url_col]))
-    rules = (
-        rules.where("action is not null and host is not null and host <> ''")
-        .groupBy(F.translate("host", UPPER, LOWER).alias("host"), F.coalesce("path", F.lit("")).alias("path"))
-        .agg(F.max("action").alias("action"))
-        .select(reversed_host(F.col("host")).alias("rev"), "path", "action")
-    )
-    labels = F.split(F.col("host"), r"\.")
-    levels = (
-        urls.where("host <> ''")
-        .groupBy("host", "path")
-        .agg(F.lit(1).alias("one"))
-        .select("host", F.col("path").alias("url_path"), F.reverse(labels).alias("labels"))
-        .select("host", "url_path", "labels", F.explode(F.sequence(F.lit(1), F.size("labels"))).alias("depth"))
-        .select("host", "url_path", F.array_join(F.slice("labels", F.lit(1), F.col("depth")), ".").alias("rev"))
-        .join(rules.select("rev").distinct(), "rev", "left_semi")
-    )
-    sizes = levels.groupBy("rev").agg(F.count("*").alias("n")).join(rules.groupBy("rev").agg(F.count("*").alias("n_rules")), "rev")
-    sweeps = sizes.select("rev", F.ceil(F.col("n") / F.greatest(F.lit(ROWS_PER_SWEEP), "n_rules")).cast("int").alias("sweeps"))
-    rows = levels.join(sweeps, "rev").select(
-        "rev", F.pmod(F.xxhash64("host", "url_path"), F.col("sweeps")).cast("int").alias("salt"),
-        F.col("url_path").alias("path"), "host", "url_path", F.lit(None).cast("string").alias("action"),
-    )
-    spread = rules.join(sweeps, "rev").select(
-        "rev", F.explode(F.sequence(F.lit(0), F.col("sweeps") - 1)).alias("salt"), "path",
-        F.lit(None).cast("string").alias("host"), F.lit(None).cast("string").alias("url_path"), "action",
-    )
-    fits = (
-        rows.unionByName(spread)
-        .repartition(parts, "rev", "salt")
-        .sortWithinPartitions("rev", "salt", "path", F.col("action").isNull())
-        .mapInPandas(_sweep, "host string, path string, rule_rev string, rule_path string, action string")
-    )
-    best = (
-        fits.select("host", "path", "action", F.concat(reversed_host(F.col("rule_rev")), "rule_path").alias("rule"), F.length("rule_rev").alias("n_host"))
-        .groupBy("host", "path")
-        .agg(F.max_by(F.struct("rule", "action"), F.struct(F.length("rule"), "n_host")).alias("best"))
-    )
-    return urls.join(best, ["host", "path"], "left").select(
-        *(urls[c] for c in urls.columns), F.col("best.rule").alias("rule"),
-        F.coalesce("best.action", F.lit(default)).alias("verdict"),
-    )
+    url = urls[url_col]
+    urls = urls.drop("host", "path", "rule", "verdict").withColumns({"host": url_host(url), "path": url_path(url)})
+    best = matches(urls.groupBy("host", "path").agg(F.lit(1).alias("one")).drop("one"), rules)
+    best = best.select("host", "path", F.struct("rule", "action").alias("best"))
+    names = [c for c in urls.columns if c not in ("host", "path")]
+    out = urls.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("row"), "host", "path").join(best, ["host", "path"], "left")
+    return out.select(*(F.col("row")[c].alias(c) for c in names), "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.action", F.lit(default)).alias("verdict"))
 
 
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
