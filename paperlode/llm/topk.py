@@ -1,19 +1,22 @@
 """Exact top-k search by inner product on a bit-sliced index.
 
 Vector components are quantised to integers. An index block holds some thousand rows as slices:
-for each dimension and each binary digit one bitmap over the rows. A query adds the slices of all
-dimensions, each shifted by the digits of the query's component, with carry-save adders over whole
-bitmaps; a negative component takes the complemented slices, which shifts all scores alike. The sums
-come out as slices again, and the best rows are selected from the most significant one downward.
-The rows left at the boundary have equal scores, and ids decide between them.
-
-Blocks of queries meet blocks of rows, and each pair gives k rows a query at most, so no pair of
-vectors is ever a row. Every row is indexed.
-
-Results for odd input: vectors that are null, hold null or non-finite components or have another
-length than most of their block's partition take no part; rows of equal id are candidates of each
-other's queries only if their ids differ; a repeated query id gives the results of its first
-vector in the block; ids that are null take no part.
+for each dimension and each binary digit one bitmap over the rows; these bitmaps are what the saved
+index consists of. A query adds the slices of all dimensions, each shifted by the signed binary
+digits of the query's component, with carry-save adders over whole bitmaps; a negative digit takes
+the complemented slices, which shifts all scores alike. The sums come out as slices again, and the
+best rows are selected from the most significant one downward. The rows left at the boundary have
+equal scores, and ids decide between them.
+
+Blocks of queries are sent to the index blocks. An index block is copied only where it gets more
+than GROUP blocks of queries, or where there are fewer blocks than cores. A pair of blocks gives k
+rows a query at most, so no pair of vectors is ever a row. Every row is indexed.
+
+Results for odd input: vectors that are null or empty, or hold null or non-finite components, take
+no part; a query meets rows of its own length only; components beyond 64 bits count as the
+nearest 64-bit integer, and so do scores, which are ranked by their exact value; ids that are null
+take no part; a row is no candidate of queries of its own id; vectors of equal id are one query, with
+the best results of all of them; repeated rows are candidates each.
 """
 
 from __future__ import annotations
@@ -28,10 +31,11 @@ from pyspark.sql import functions as F
 from .common import saved, table
 
 K, EVERY, SCALE = 5, 50, 256
-#: Rows of an index block, queries of a query block, and groups that one query block is dealt to.
-ROWS, QUERIES, SALTS = 32768, 256, 16
-#: Names of query blocks (12 bytes each) that are broadcast; more are joined by shuffling.
-NAMES = 1_000_000
+#: Rows of an index block, queries of a query block, and query blocks that a copy of an index block meets.
+ROWS, QUERIES, GROUP = 32768, 256, 64
+#: Scores are ranked as three parts, the lower two of this many bits.
+LOW = 62
+MASK = (1 << LOW) - 1
 
 
 def quantised(vector: Column, scale: int = SCALE) -> Column:
@@ -44,15 +48,36 @@ class Slices:
     """Bit slices of some rows of integers."""
 
     def __init__(self, rows: np.ndarray):
-        self.n, self.dims = rows.shape
-        self.low = rows.min(axis=0)
-        shifted = (rows - self.low).astype(np.uint64)
-        self.digits = [int(x).bit_length() for x in shifted.max(axis=0)]
-        self.bytes = -(-self.n // 64) * 8
-        self.all = self._bitmap(np.ones(self.n, bool))
-        self.ones = [[self._bitmap((shifted[:, d] >> np.uint64(i)) & np.uint64(1)) for i in range(self.digits[d])] for d in range(self.dims)]
+        n, dims = rows.shape
+        low = rows.min(axis=0)
+        with np.errstate(over="ignore"):
+            shifted = rows.astype(np.uint64) - low.astype(np.uint64)
+        digits = [int(x).bit_length() for x in shifted.max(axis=0)]
+        self._set(n, low.tolist(), digits, [])
+        self.ones = [[self._bitmap((shifted[:, d] >> np.uint64(i)) & np.uint64(1)) for i in range(digits[d])] for d in range(dims)]
         self.zeros = [[self.all & ~b for b in s] for s in self.ones]
 
+    def _set(self, n: int, low: list[int], digits: list[int], ones: list) -> None:
+        self.n, self.low, self.digits, self.bytes = n, low, digits, -(-n // 64) * 8
+        self.all = self._bitmap(np.ones(n, bool))
+        self.ones = ones
+        self.zeros = [[self.all & ~b for b in s] for s in ones]
+
+    def dump(self) -> bytes:
+        """The slices as bytes, those of one dimension after the other."""
+        head = np.array([self.n, len(self.low), *self.low, *self.digits], "<i8")
+        return head.tobytes() + b"".join(b.tobytes() for s in self.ones for b in s)
+
+    @classmethod
+    def load(cls, data: bytes) -> Slices:
+        n, dims = np.frombuffer(data, "<i8", 2).tolist()
+        head = np.frombuffer(data, "<i8", 2 * dims, 16).tolist()
+        maps = np.frombuffer(data, np.uint64, offset=16 + 16 * dims).reshape(-1, -(-n // 64))
+        ends = np.cumsum(head[dims:]).tolist()
+        out = cls.__new__(cls)
+        out._set(n, head[:dims], head[dims:], [list(maps[e - d : e]) for e, d in zip(ends, head[dims:])])
+        return out
+
     def _bitmap(self, bits: np.ndarray) -> np.ndarray:
         out = np.zeros(self.bytes, np.uint8)
         packed = np.packbits(bits.astype(bool), bitorder="little")
@@ -64,17 +89,20 @@ class Slices:
         columns: list[list[np.ndarray]] = []
         base = 0
         for d, q in enumerate(query.tolist()):
-            base += q * int(self.low[d])
-            if q < 0:
-                base += q * ((1 << self.digits[d]) - 1)
-            for i, b in enumerate(self.ones[d] if q > 0 else self.zeros[d]):
-                weight = abs(q)
-                while weight:
-                    j = (weight & -weight).bit_length() - 1
-                    weight &= weight - 1
-                    while len(columns) <= i + j:
+            base += q * self.low[d]
+            j, rest = 0, q
+            while rest:
+                digit = 2 - (rest & 3) if rest & 1 else 0  # signed digits: no two that follow each other are set
+                if digit:
+                    rest -= digit
+                    if digit < 0:
+                        base -= ((1 << self.digits[d]) - 1) << j
+                    while len(columns) < j + self.digits[d]:
                         columns.append([])
-                    columns[i + j].append(b)
+                    for i, b in enumerate(self.ones[d] if digit > 0 else self.zeros[d]):
+                        columns[i + j].append(b)
+                rest >>= 1
+                j += 1
         out: list[np.ndarray | None] = []
         at = 0
         while at < len(columns):
@@ -125,78 +153,97 @@ class Slices:
         return np.flatnonzero(np.unpackbits(bitmap.view(np.uint8), bitorder="little"))
 
 
-def _packed(vectors: DataFrame, size: int) -> DataFrame:
-    """Rows (id, vector) of each partition in blocks: block (unique), ids and values (int16 where they fit, or int32) as bytes."""
+def _packed(vectors: DataFrame, size: int, sliced: bool) -> DataFrame:
+    """Rows (id, vector) of each partition in blocks of one length, sorted by id: dims, ids and values
+    as bytes. values are bit slices or, for queries, 64-bit integers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list[tuple[int, list[int]]]] = {}  # by dimension
-
-        def block(rows: list) -> pa.RecordBatch:
-            rows.sort(key=lambda r: r[0])
-            ids = np.array([i for i, _ in rows], "<i8")
-            values = np.array([v for _, v in rows], "<i4")
-            if abs(values).max(initial=0) < 1 << 15:
-                values = values.astype("<i2")
-            return pa.RecordBatch.from_arrays([pa.array([values.shape[1]], pa.int32()), pa.array([ids.tobytes()], pa.binary()), pa.array([values.tobytes()], pa.binary())], ["dims", "ids", "values"])
+        held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}  # by dimension
+
+        def block(dims: int, least: int) -> Iterator[pa.RecordBatch]:
+            ids, values = (np.concatenate(x) for x in zip(*held.pop(dims)))
+            while len(ids) >= least:
+                order = np.argsort(ids[:size], kind="stable")
+                rows = values[:size][order]
+                data = Slices(rows).dump() if sliced else rows.astype("<i8").tobytes()
+                yield pa.RecordBatch.from_arrays([pa.array([dims], pa.int32()), pa.array([ids[:size][order].astype("<i8").tobytes()], pa.binary()), pa.array([data], pa.binary())], ["dims", "ids", "values"])
+                ids, values = ids[size:], values[size:]
+            if len(ids):
+                held[dims] = [(ids, values)]
 
         for batch in batches:
-            for i, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                rows = held.setdefault(len(v), [])
-                rows.append((i, v))
-                if len(rows) == size:
-                    yield block(held.pop(len(v)))
-        for rows in held.values():
-            yield block(rows)
+            ids, lists = batch.column(0).to_numpy(), batch.column(1)
+            first, flat = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False)
+            length = np.diff(first)
+            for dims in np.unique(length).tolist():
+                at = np.flatnonzero(length == dims)
+                rows = held.setdefault(dims, [])
+                rows.append((ids[at], flat[first[at][:, None] + np.arange(dims)]))
+                if sum(len(i) for i, _ in rows) >= size:
+                    yield from block(dims, size)
+        for dims in list(held):
+            yield from block(dims, 1)
 
     return vectors.mapInArrow(run, "dims int, ids binary, values binary")
 
 
-def _matrix(values: bytes, n: int, dims: int) -> np.ndarray:
-    return np.frombuffer(values, f"<i{len(values) // (n * dims)}").reshape(n, dims).astype(np.int64)
+def _dealt(rows: DataFrame, n: int) -> DataFrame:
+    """rows evenly over n partitions."""
+    return rows.repartitionById(n, F.pmod(F.xxhash64("id", "vector"), F.lit(n)).cast("int"))
 
 
 def top_k(rows: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     """query_id, rank (from 1), id and score of the k best rows for each query.
 
-    Both inputs: id (long) and vector (array of integers). A query's own id is no candidate.
+    Both inputs: id (long) and vector (array of longs). A query's own id is no candidate.
     """
     spark = rows.sparkSession
-    n_queries = queries.count()
-    ask = _packed(queries.repartition(max(1, -(-n_queries // QUERIES)), F.xxhash64("id")), QUERIES)
+    ask = _packed(_dealt(queries, max(1, -(-queries.count() // QUERIES))), QUERIES, False)
     ask = saved(ask.withColumn("block", F.xxhash64("ids", "values")), "queries")
-    n_rows = rows.count()
-    index = saved(_packed(rows.repartition(max(1, -(-n_rows // ROWS)), F.xxhash64("id", "vector")), ROWS), "index")
-    # each query block is dealt to SALTS groups of index blocks
-    n_blocks = ask.count()
-    left = index.select("dims", F.col("ids").alias("row_ids"), F.col("values").alias("row_values"), F.pmod(F.xxhash64("ids"), F.lit(SALTS)).cast("int").alias("salt"))
-    parts = max(1, min(SALTS * max(1, n_blocks), spark.sparkContext.defaultParallelism * 8))
-    blocks = ask.select("block", "dims").distinct()
-    if n_blocks <= NAMES:
-        blocks = F.broadcast(blocks)
-    left = left.join(blocks, "dims").repartition(parts, "block", "salt")
-    right = ask.select("block", "ids", "values", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")).repartition(parts, "block", "salt")
-    pairs = left.join(right, ["block", "salt"]).select("dims", "row_ids", "row_values", "ids", "values")
+    index = _packed(_dealt(rows, max(1, -(-rows.count() // ROWS))), ROWS, True)
+    index = saved(index.withColumn("block", F.xxhash64("ids", "values")), "index")
+    n_ask, n_index = ask.count(), index.count()
+    groups = min(max(1, n_ask), max(-(-n_ask // GROUP), -(-2 * spark.sparkContext.defaultParallelism // max(1, n_index))))
+    # each index block comes first in each of its groups, and then the query blocks of that group
+    copies = index.select("dims", "block", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group"), F.lit(False).alias("asks"), "ids", "values")
+    sent = ask.select("dims", F.col("block").alias("ask"), F.pmod("block", F.lit(groups)).cast("int").alias("group"), "ids", "values")
+    sent = sent.join(index.select("dims", "block"), "dims").select("dims", "block", "group", F.lit(True).alias("asks"), "ids", "values")
+    parts = max(1, min(groups * max(1, n_index), 8 * spark.sparkContext.defaultParallelism))
+    tasks = copies.unionByName(sent).repartition(parts, "block", "dims", "group").sortWithinPartitions("block", "dims", "group", "asks")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, Slices]] = []  # should two blocks have one hash, both are searched
+        at_key = None
         for batch in batches:
-            for r in batch.to_pylist():
-                row_ids, ids = np.frombuffer(r["row_ids"], "<i8"), np.frombuffer(r["ids"], "<i8")
-                index_ = Slices(_matrix(r["row_values"], len(row_ids), r["dims"]))
-                out: list[tuple[int, int, int]] = []
-                for q, v in zip(ids.tolist(), _matrix(r["values"], len(ids), r["dims"])):
-                    lo, hi = np.searchsorted(row_ids, [q, q + 1])
-                    without = None
-                    if hi > lo:
-                        own = np.zeros(len(row_ids), bool)
-                        own[lo:hi] = True
-                        without = index_._bitmap(own)
-                    at, scores = index_.best(v, k, without)
-                    out += [(q, i, s) for i, s in zip(row_ids[at].tolist(), scores)]
-                yield pa.RecordBatch.from_arrays([pa.array(list(x), pa.int64()) for x in zip(*out)] if out else [pa.array([], pa.int64())] * 3, ["query_id", "id", "score"])
-
-    found = pairs.mapInArrow(run, "query_id long, id long, score long")
-    w = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
-    return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "id", "score")
+            out: list[tuple[int, ...]] = []
+            for block, group, dims, asks, id_bytes, values in zip(*(c.to_pylist() for c in batch.columns)):
+                if (block, group, dims) != at_key:
+                    at_key, held = (block, group, dims), []
+                ids = np.frombuffer(id_bytes, "<i8")
+                if not asks:
+                    held.append((ids, Slices.load(values)))
+                    continue
+                for q, v in zip(ids.tolist(), np.frombuffer(values, "<i8").reshape(len(ids), dims)):
+                    for row_ids, slices in held:
+                        lo, hi = np.searchsorted(row_ids, q, "left"), np.searchsorted(row_ids, q, "right")
+                        without = None
+                        if hi > lo:
+                            own = np.zeros(len(row_ids), bool)
+                            own[lo:hi] = True
+                            without = slices._bitmap(own)
+                        at, scores = slices.best(v, k, without)
+                        out += [(q, i, s >> 2 * LOW, s >> LOW & MASK, s & MASK) for i, s in zip(row_ids[at].tolist(), scores)]
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)], ["query_id", "id", "high", "mid", "low"])
+
+    found = tasks.select("block", "group", "dims", "asks", "ids", "values").mapInArrow(run, "query_id long, id long, high long, mid long, low long")
+    w = Window.partitionBy("query_id").orderBy(F.desc("high"), F.desc("mid"), F.desc("low"), "id")
+    best = found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    most = 2**63 - 1
+    high, mid = F.col("high"), F.col("mid")
+    above, below = (high > 0) | ((high == 0) & (mid > 1)), (high < -1) | ((high == -1) & (mid < MASK - 1))
+    score = F.when(above, F.lit(most)).when(below, F.lit(-most - 1)).otherwise(F.shiftleft("mid", LOW).bitwiseOR(F.col("low")))
+    return best.select("query_id", "rank", "id", score.alias("score"))
 
 
 def op1_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
