@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import saved, slices, table
+from .common import slices, table
 from .words import NOT_SPACE, buffers, run_hashes, spans
 
 STATS = ["n_bytes", "n_words", "word_bytes", "upper", "digits", "symbols", "bars", "bangs", "stops", "line_bytes", "distinct", "doubled", "top_word"]
@@ -81,17 +81,19 @@ def statistics(texts: pa.Array) -> np.ndarray:
 
 
 def text_statistics(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns keep and STATS of every row."""
+    """The columns keep and STATS of every row; no name of keep may be one of STATS."""
     fields = [docs.schema[c] for c in keep]
+    names = [*keep, *(() if text_col in keep else (text_col,))]
+    at = names.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            done = [statistics(part) for part in slices(batch.column(len(keep)), SLICE_BYTES)]
+            done = [statistics(part) for part in slices(batch.column(at), SLICE_BYTES)]
             got = np.concatenate(done) if done else np.zeros((0, len(STATS)))
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *(pa.array(got[:, i].copy()) for i in range(len(STATS)))], [*keep, *STATS])
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), *(f"{s} double" for s in STATS)])
-    return docs.select(*keep, text_col).mapInArrow(run, schema)
+    return docs.select(*(F.col(f"`{c}`") for c in names)).mapInArrow(run, schema)
 
 
 @dataclass
@@ -189,30 +191,39 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
-def labelled(stats: DataFrame, labels: DataFrame, target: str = "quality", limit: int = MAX_LABELLED) -> tuple[np.ndarray, np.ndarray]:
+def labelled(docs: DataFrame, labels: DataFrame, target: str = "quality", limit: int = MAX_LABELLED) -> tuple[np.ndarray, np.ndarray]:
     """Statistics and labels of at most limit labelled rows that aren't held out."""
     some = labels.where(F.col(target).isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     some = some.select("doc_id", F.col(target).cast("double").alias("y")).orderBy(F.xxhash64("doc_id"), "y").limit(limit)
-    rows = stats.join(F.broadcast(some), "doc_id").orderBy("doc_id", "y", *STATS).limit(2 * limit).toPandas()
+    rows = text_statistics(docs.select("doc_id", "text").join(F.broadcast(some), "doc_id"), keep=("doc_id", "y"))
+    rows = rows.orderBy("doc_id", "y", *STATS).limit(2 * limit).toPandas()
     return rows[STATS].to_numpy(float).reshape(-1, len(STATS)), rows["y"].to_numpy(float)
 
 
-def score_documents(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """keep, score (probability of label 1) and predicted of every row of docs."""
-    stats = saved(text_statistics(docs, keep=keep), "statistics")
-    model = fit(*labelled(stats, labels))
-    return stats.select(*keep, model.column().alias("score")).withColumn("predicted", F.when(F.col("score") >= THRESHOLD, 1).otherwise(0))
+def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """All rows and columns of docs, with score (probability of label 1) and predicted in place of
+    columns of these names."""
+    names = [c for c in docs.columns if c.lower() not in ("score", "predicted")]
+    model = fit(*labelled(docs, labels))
+    # own columns go by place, so that none has a statistic's name
+    kept = [f"kept_{i}" for i in range(len(names))]
+    at = next(i for i, c in enumerate(names) if c.lower() == "text")
+    wide = text_statistics(docs.select(*(docs[c].alias(k) for c, k in zip(names, kept))), kept[at], tuple(kept))
+    out = wide.select(*(F.col(k).alias(c) for c, k in zip(names, kept)), model.column().alias("score"))
+    return out.withColumn("predicted", F.when(F.col("score") >= THRESHOLD, 1).otherwise(0))
 
 
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    scored = score_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """docs without the rows of predicted quality 0; null texts stay null and are scored as empty."""
-    columns = docs.columns
-    key = tuple(columns)
-    model = fit(*labelled(saved(text_statistics(docs), "statistics"), table(spark, sf_dir, "labels")))
-    wide = text_statistics(docs.select("*", F.col("text").alias("scored_text")), "scored_text", key)
-    return wide.where(model.column() >= THRESHOLD).select(*columns)
+    """docs without the rows of predicted quality 0. Null texts stay null and are scored as empty ones;
+    repeated rows get one score; further columns, whatever their names, come along."""
+    kept = [f"kept_{i}" for i in range(len(docs.columns))]
+    rows = docs.select(*(docs[c].alias(k) for c, k in zip(docs.columns, kept)), docs["doc_id"], docs["text"])
+    model = fit(*labelled(rows, table(spark, sf_dir, "labels")))
+    at = kept[[c.lower() for c in docs.columns].index("text")]
+    wide = text_statistics(rows, at, tuple(kept))
+    return wide.where(model.column() >= THRESHOLD).select(*(F.col(k).alias(c) for c, k in zip(docs.columns, kept)))

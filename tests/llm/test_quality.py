@@ -46,7 +46,7 @@ def test_fit_learns_a_conjunction_and_column_agrees(spark):
 
 @pytest.mark.parametrize("labels", [[], [(1, 1, 0)], [(None, None, None)]])
 def test_few_labels_and_odd_rows(spark, labels):
-    docs = spark.createDataFrame([(1, "a b c", 1.0), (None, None, 2.0), (1, "a b c", 1.0)], "doc_id long, text string, n_words double")
+    docs = spark.createDataFrame([(1, "a b c", 1.0), (None, None, 2.0), (1, "a b c", 1.0)], "doc_id long, text string, n_words double")  # a column named like a statistic
     lab = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
     out = q.score_documents(docs, lab).collect()
     assert len(out) == 3 and all(0 <= r.score <= 1 for r in out)
@@ -62,3 +62,33 @@ def test_stage_keeps_columns_and_held_out_is_crc32(spark, tmp_path):
     assert sorted(r.doc_id for r in kept.collect()) == [i for i in range(200) if i % 2]
     flags = {r.doc_id: r.h for r in docs.select("doc_id", q.held_out(docs.doc_id).alias("h")).collect()}
     assert flags == {i: zlib.crc32(str(i).encode()) % 5 == 0 for i in range(200)}
+
+
+def test_stage_with_clashing_columns_and_empty_tables(spark, tmp_path):
+    rows = [(i, "plain words that make a text " * (1 + i % 4) if i % 2 else "|| ## 99 " * 9, i, i, str(i), 0.5) for i in range(120)] + [(None, None, 1, 2, None, 0.1)] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string, digits int, N_Words int, scored_text string, kept_1 double")
+    spark.createDataFrame([(i, i % 2, 0) for i in range(120)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    out = q.stage(spark, docs, str(tmp_path))
+    assert out.columns == docs.columns
+    got = [tuple(r) for r in out.collect()]
+    assert [r for r in got if r[0] is not None] == [r for r in rows[:120] if r[0] % 2]
+    assert got.count(rows[-1]) in (0, 2)  # repeated rows get one score
+    assert q.stage(spark, docs.limit(0), str(tmp_path)).count() == 0
+
+
+def test_held_out_rows_are_told_apart(spark):
+    """Labels of rows whose crc32 modulo 5 is 0 are never learned from; the score still knows them."""
+    r = np.random.default_rng(2)
+    word = lambda: "".join(r.choice(list("abcdefghijklmnop"), int(r.integers(2, 9))))
+    good = lambda: ". ".join(" ".join(word() for _ in range(int(r.integers(5, 12)))).capitalize() for _ in range(int(r.integers(2, 9))))
+    junk = [lambda: " ".join(["buy"] * 40), lambda: "| " * 30 + word(), lambda: "CLICK HERE!!! " * 9, lambda: "\n".join(str(x) for x in r.integers(0, 10**6, 30))]
+    rows = [(i, good() if i % 2 else junk[i // 2 % 4](), i % 2) for i in range(600)]
+    docs = spark.createDataFrame([x[:2] for x in rows], "doc_id long, text string")
+    held = {i for i, *_ in rows if zlib.crc32(str(i).encode()) % 5 == 0}
+    lied = [(i, 1 - y if i in held else y, 0) for i, _, y in rows]  # wrong where no one may look
+    got = {x.doc_id: x for x in q.score_documents(docs, spark.createDataFrame(lied, "doc_id long, quality int, toxic int")).collect()}
+    assert sum(got[i].predicted == y for i, _, y in rows if i in held) >= 0.97 * len(held)
+    scores = sorted((got[i].score, y) for i, _, y in rows if i in held)
+    ranks = [k for k, (_, y) in enumerate(scores) if y]
+    n, m = len(ranks), len(scores) - len(ranks)
+    assert (sum(ranks) - n * (n - 1) / 2) / (n * m) > 0.98  # area under the curve
