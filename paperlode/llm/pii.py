@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import saved, table
+from .common import free_name, saved, table
 
 KINDS = ["email", "ip", "card", "phone"]
 #: Java patterns of the base kinds. A match can only begin where a run of its first characters
@@ -126,7 +126,7 @@ def _held(found: DataFrame) -> DataFrame:
     return found.select(F.explode(F.array_distinct(names)).alias("entity"), "key").distinct()
 
 
-def disclosing_terms(found: DataFrame, docs: DataFrame, text_col: str) -> DataFrame:
+def disclosing_terms(found: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """entity, term, disclosed (share of the entity's information) and action; found has every row
     of docs, as an entity counts where it has no context too."""
     held = _held(found)
@@ -135,10 +135,12 @@ def disclosing_terms(found: DataFrame, docs: DataFrame, text_col: str) -> DataFr
     words = found.where(F.size("words") > 0).dropDuplicates(["key"]).select("key", F.array_distinct(F.transform("words", lambda w: w["term"])).alias("terms"))
     pairs = held.join(entities, "entity", "left_semi").join(words, "key").select("entity", F.explode("terms").alias("term"))
     met = pairs.groupBy("entity", "term").agg(F.count("*").alias("n_both")).where(F.col("n_both") >= SUPPORT)
-    # rows that hold a term, over the whole corpus; partial counts go over the network
-    words = F.array_distinct(F.transform(F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(TERM), F.lit(0)), lambda w: F.xxhash64(w)))
-    terms = docs.select(F.explode(words).alias("hash")).groupBy("hash").agg(F.count("*").alias("n_term"))
-    n, log = F.lit(float(docs.count())), F.log2
+    # rows that hold a term, over the whole corpus; a row that is repeated counts once, as it does for entities
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    words = F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), lambda w: F.xxhash64(F.lower(w))))
+    once = saved(docs.select(_key(id_col, text).alias("key"), words.alias("hashes")).groupBy("key").agg(F.first("hashes").alias("hashes")), "words")
+    terms = once.select(F.explode("hashes").alias("hash")).groupBy("hash").agg(F.count("*").alias("n_term"))
+    n, log = F.lit(float(once.count())), F.log2
     rows = met.join(entities, "entity").withColumn("hash", F.xxhash64("term")).join(terms, "hash")
     pmi = log(n) + log("n_both") - log("n_term") - log("n_entity")
     ic = log(n) - log("n_entity")
@@ -149,7 +151,7 @@ def disclosing_terms(found: DataFrame, docs: DataFrame, text_col: str) -> DataFr
 def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id_col, key, base spans of each kind as (s, e, m), and terms as (s, e, action), for each row."""
     found = saved(located_data(docs, id_col, text_col), "personal")
-    terms = saved(disclosing_terms(found, docs, text_col), "terms")
+    terms = saved(disclosing_terms(found, docs, id_col, text_col), "terms")
     words = found.where(F.size("words") > 0).select("key", F.explode("words").alias("w")).select("key", "w.*")
     words = words.join(terms.select("term").distinct(), "term", "left_semi").distinct()
     # an entity may have many terms: only those that stand in a row are paired with its entities
@@ -163,20 +165,32 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", column: str = "sanitised") -> DataFrame:
     """docs with the text in which base spans and generalised terms are replaced by their kind in
-    brackets and removed terms are left out. Null texts give empty ones."""
+    brackets and removed terms are left out. Null texts give empty ones. A column of that name is
+    replaced; all others come along."""
+    docs = docs.drop(column)
+    key, cuts = free_name(docs.columns, "cut_key"), free_name(docs.columns, "cuts")
     found = find_personal_data(docs, id_col, text_col).dropDuplicates(["key"])
+    found = found.select(F.col("key").alias(key), cuts_of().alias(cuts))
+    rows = docs.withColumn(key, _key(id_col, F.coalesce(F.col(text_col), F.lit("")))).join(found, key, "left")
+    return rows.withColumn(column, without(F.coalesce(F.col(text_col), F.lit("")), F.col(cuts))).drop(key, cuts)
+
+
+def cuts_of() -> Column:
+    """What is to be replaced by what, as sorted (s, e, mark), from the columns of find_personal_data."""
     marks = [_mark(k) for k in KINDS]
     marks.append(F.transform("terms", lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), F.when(x["action"] == "remove", "").otherwise("[TERM]").alias("mark"))))
-    cuts = found.select(F.col("key").alias("cut_key"), F.array_sort(F.concat(*marks)).alias("cuts"))
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.drop(column).withColumn("cut_key", _key(id_col, text)).join(cuts, "cut_key", "left")
+    return F.array_sort(F.concat(*marks))
+
+
+def without(text: Column, cuts: Column) -> Column:
+    """text with cuts made; of what overlaps, the first mark stands."""
 
     def step(acc: Column, x: Column) -> Column:
         piece = F.concat(F.substring(text, acc["at"] + 1, F.greatest(F.lit(0), x["s"] - acc["at"])), F.when(x["s"] >= acc["at"], x["mark"]).otherwise(""))
         return F.struct(F.greatest(acc["at"], x["e"]).alias("at"), F.concat(acc["out"], piece).alias("out"))
 
-    done = F.aggregate("cuts", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-    return rows.withColumn(column, done).drop("cut_key", "cuts")
+    done = F.aggregate(cuts, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
+    return F.when(F.size(cuts) > 0, done).otherwise(text)
 
 
 def _mark(kind: str) -> Column:
@@ -191,8 +205,12 @@ def _joined(kinds: list[str]) -> Column:
 
 
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = find_personal_data(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return found.select(
+    """Spans of every row, and the SHA-256 of its sanitised text."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    text = F.coalesce(F.col("text"), F.lit(""))
+    found = find_personal_data(docs).dropDuplicates(["key"]).drop("doc_id")
+    rows = docs.select("doc_id", text.alias("text"), _key("doc_id", text).alias("key")).join(found, "key")
+    return rows.select(
         "doc_id", *(F.size(k).cast("long").alias(f"n_{k}") for k in KINDS), F.sha2(_joined(KINDS), 256).alias("base_sha256"),
-        _joined([*KINDS, "term"]).alias("spans"), F.size("terms").cast("long").alias("n_term"),
+        _joined([*KINDS, "term"]).alias("spans"), F.size("terms").cast("long").alias("n_term"), F.sha2(without(F.col("text"), cuts_of()), 256).alias("sanitised_sha256"),
     )

@@ -119,3 +119,24 @@ def test_terms_far_from_the_entity_count_and_go(spark):
     rows = {x.doc_id: x.terms for x in pii.find_personal_data(df).collect()}
     assert all([(s, e, a) for s, e, a in rows[i]] == [(0, 5, "remove"), (len(far) - 5, len(far), "remove")] for i in range(3))
     assert not any(rows[i] for i in range(3, 60))
+
+
+def test_repeated_rows_change_no_term(spark):
+    rows = [(0, "Zorro boss@corp.example in the office"), (1, "Zorro boss@corp.example of the team"), *((i, f"the office of team {i} in town") for i in range(2, 20))]
+    once = spark.createDataFrame(rows, "doc_id long, text string")
+    often = spark.createDataFrame(rows + rows[:2] * 4 + rows[5:6] * 9, "doc_id long, text string")
+    got = [{x.doc_id: [tuple(t) for t in x.terms] for x in pii.find_personal_data(df).collect()} for df in (once, often)]
+    assert got[0] == got[1] and got[0][0] == [(0, 5, "remove")]
+
+
+def test_letters_that_change_length_and_the_query_sanitises(spark, tmp_path):
+    rows = [(i, f"İstanbulİ {'x' * i} boss@corp.example") for i in range(2)] + [(i, f"the office {i}") for i in range(2, 30)]
+    df = spark.createDataFrame([(*d, "c") for d in rows + rows[:1]], "doc_id long, text string, cuts string")
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    out = pii.op4_pii(spark, str(tmp_path)).collect()
+    assert len(out) == 31 and {x.doc_id: x.n_term for x in out}[0] == 1
+    want = {x.doc_id: hashlib.sha256(x.sanitised.encode()).hexdigest() for x in pii.sanitise(df).collect()}
+    assert all(x.sanitised_sha256 == want[x.doc_id] for x in out)
+    assert {x.sanitised for x in pii.sanitise(df).where("doc_id = 0").collect()} == {"  [EMAIL]"}
+    df.limit(0).write.parquet(f"{tmp_path}/none/documents.parquet")
+    assert pii.op4_pii(spark, f"{tmp_path}/none").count() == 0
