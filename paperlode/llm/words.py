@@ -18,6 +18,11 @@ for a, b in (("0", "9"), ("A", "Z"), ("a", "z")):
 NOT_SPACE = np.ones(256, bool)
 NOT_SPACE[[9, 10, 11, 12, 13, 32]] = False
 
+#: Code points (first, last) of white space and punctuation beyond ASCII, and of scripts that put no
+#: spaces between words: Thai to Tibetan without digits, Kana, ideographs, Yi.
+GAPS = [(0x80, 0xA9), (0xAB, 0xB1), (0xB4, 0xB4), (0xB6, 0xB8), (0xBB, 0xBB), (0xBF, 0xBF), (0xD7, 0xD7), (0xF7, 0xF7), (0x2000, 0x206F), (0x20A0, 0x20C0), (0x3000, 0x3004), (0x3008, 0x3020), (0xFF01, 0xFF0F), (0xFF1A, 0xFF20)]
+ALONE = [(0x0E01, 0x0E4E), (0x0E81, 0x0ECD), (0x1000, 0x103F), (0x1780, 0x17D3), (0x3041, 0x30FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xA000, 0xA48C)]
+
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -55,13 +60,14 @@ def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
-def spans(data: np.ndarray, starts: np.ndarray, lut: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Maximal runs of bytes in lut, cut at text boundaries: first byte, end, first run of each text."""
+def spans(data: np.ndarray, starts: np.ndarray, lut: np.ndarray, cuts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Maximal runs of bytes in lut, cut at text boundaries and at cuts: first byte, end, first run of
+    each text."""
     inside = np.zeros(len(data) + 2, np.int8)
     inside[1:-1] = lut[data]
     step = np.diff(inside)
     first, end = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
-    cut = starts[1:-1]
+    cut = starts[1:-1] if cuts is None else np.concatenate([starts[1:-1], cuts])
     cut = np.unique(cut[(cut > 0) & (cut < len(data))])
     cut = cut[(inside[cut] == 1) & (inside[cut + 1] == 1)]  # a run goes on over this boundary
     if len(cut):
@@ -76,11 +82,38 @@ def run_hashes(data: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarr
         return mix((total[end] - total[first]) * powers(INVERSE, len(data) + 1)[first])
 
 
+def _wide(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of non-ASCII white space and punctuation, and bytes where a word of one character begins
+    or ends, in scripts that put no spaces between words."""
+    gaps, cuts = [], []
+    lead = np.flatnonzero(data >= 0xC2)
+    lead = lead[lead + 2 < len(data) + (data[lead] < 0xE0)]
+    x = data[lead].astype(np.int64)
+    code = (x & 0x1F) << 6 | data[lead + 1] & 0x3F
+    three = np.flatnonzero((x >= 0xE0) & (x < 0xF0))
+    code[three] = (x[three] & 0xF) << 12 | (data[lead[three] + 1].astype(np.int64) & 0x3F) << 6 | data[lead[three] + 2] & 0x3F
+    size = np.where(x < 0xE0, 2, 3)
+    known = x < 0xF0
+    for lo, hi in GAPS:
+        at = known & (code >= lo) & (code <= hi)
+        gaps += [lead[at] + d for d in range(2)] + [lead[at & (size == 3)] + 2]
+    for lo, hi in ALONE:
+        at = known & (code >= lo) & (code <= hi)
+        cuts += [lead[at], lead[at] + 3]
+    return np.concatenate(gaps), np.concatenate(cuts)
+
+
 def lowered_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words (runs of letters, digits and all non-ASCII characters, lower-cased) and
-    the place of each text's first word, with the end as one more."""
+    """Hashes of the words (lower-cased runs of letters and digits; each character of a script without
+    spaces is one) and the place of each text's first word, with the end as one more."""
     data, starts = buffers(pc.utf8_lower(pc.fill_null(texts, "")))
-    first, end, of_text = spans(data, starts, IS_WORD)
+    cuts = None
+    if len(data) and data.max() >= 0xC2:
+        gaps, cuts = _wide(data)
+        if len(gaps):
+            data = data.copy()
+            data[gaps] = 32
+    first, end, of_text = spans(data, starts, IS_WORD, cuts)
     return run_hashes(data, first, end), of_text
 
 

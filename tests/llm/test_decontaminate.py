@@ -1,4 +1,6 @@
 import random
+import re
+import time
 
 import pyarrow as pa
 import pytest
@@ -36,7 +38,7 @@ def test_tiles_equal_plain_tiling(seed):
         got = d.tiles(a, b, 2)
         assert all(a[i : i + n] == b[j : j + n] for i, j, n in got)
         assert len({x for i, _, n in got for x in range(i, i + n)}) == sum(n for *_, n in got)
-        assert sorted(n for *_, n in got)[::-1][:1] == plain_tiles(a, b, 2)[:1]
+        assert [n for *_, n in got] == plain_tiles(a, b, 2)  # whole tilings, longest first
 
 
 def test_whole_reordered_and_partial_passages():
@@ -50,7 +52,7 @@ def test_whole_reordered_and_partial_passages():
         " ".join(" ".join(item) for _ in range(3)),
     ]
     got = d.Block([(7, " ".join(item)), (8, " ".join(item)), (9, other(30)), (10, "a b")]).leaks(pa.array(texts))
-    assert [[i for i, _ in x] for x in got] == [[7, 8], [7, 8], [], [], [], [], [7, 8]]
+    assert [[i for i, _ in x] for x in got] == [[7, 8], [7, 8], [], [], [], [], [7, 8]]  # item 10, "a b", stands nowhere
     assert all(c == 1 for x in (got[0], got[1], got[6]) for _, c in x)
 
 
@@ -74,3 +76,63 @@ def test_stage_drops_leaks_only(spark, tmp_path):
     docs = spark.createDataFrame([(1, "x One two three four five, six seven!", "a"), (2, "one two three", "b"), (3, None, None)], "doc_id long, text string, leaks string")
     out = d.stage(spark, docs, str(tmp_path))
     assert out.columns == docs.columns and sorted(r.doc_id for r in out.collect()) == [2, 3]
+
+
+def brute_leaks(items, texts):
+    """Coverage of plain tilings of whole texts by whole items, where it is enough."""
+    split = lambda t: re.findall(r"[^\W_]+", (t or "").lower())
+    number: dict = {}
+    code = lambda t: [number.setdefault(w, len(number)) for w in split(t)]
+    out = []
+    for t in texts:
+        found = []
+        for i, x in items:
+            item = code(x)
+            share = sum(plain_tiles(item, code(t), min(d.SEED, len(item)))) / len(item) if item else 0
+            if share >= d.COVERAGE:
+                found.append((i, share))
+        out.append(found)
+    return out
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_coverage_equals_plain_tiling(seed):
+    r = random.Random(seed)
+    words = [f"w{i}" for i in range(r.choice([4, 30]))]
+    items = [(i, " ".join(r.choice(words) for _ in range(r.randint(0, 18)))) for i in range(25)]
+    texts = []
+    for _ in range(40):
+        x = r.choice(items)[1].split()
+        k = r.randint(0, len(x))
+        x = x[k:] + ["zz"] * r.randint(0, 1) + x[:k]
+        if x and r.random() < 0.5:
+            x[r.randrange(len(x))] = "other"
+        texts.append(" ".join([r.choice(words) for _ in range(r.randint(0, 6))] + x))
+    got = d.Block(items).leaks(pa.array(texts))
+    assert [[(i, round(c, 9)) for i, c in x] for x in got] == [[(i, round(c, 9)) for i, c in x] for x in brute_leaks(items, texts)]
+
+
+def test_short_items_and_repetitive_texts():
+    block = d.Block([(1, "four words stand here"), (2, "one"), (3, "")])
+    assert [[i for i, _ in x] for x in block.leaks(pa.array(["so Four words, stand here!", "four words stand", "one day"]))] == [[1], [], [2]]
+    assert d.Block([(1, "four words stand here"), (2, "one")], shortest=5).leaks(pa.array(["four words stand here one"])) == [[]]
+    items = [(i, " ".join(["same"] * (20 + i))) for i in range(20)] + [(99, " ".join(["a", "b"] * 700))]
+    began = time.time()
+    got = d.Block(items).leaks(pa.array([" ".join(["same"] * 6000), " ".join(["a", "b"] * 3000)]))
+    assert [len(x) for x in got] == [20, 1] and time.time() - began < 10
+
+
+def test_other_scripts_and_quotes():
+    item = "日本語のとても長い質問の文です"
+    block = d.Block([(1, item), (2, "which of these “quoted” words is the right answer")])
+    texts = [f"前置き{item}。終わり", "xx which\u00a0of these quoted words — is the right answer yy", "日本"]
+    assert [[i for i, _ in x] for x in block.leaks(pa.array(texts))] == [[1], [2], []]
+    assert block.leaks(pa.array(["é", "…", "x" * 10 + "\u00a0"])) == [[], [], []]
+
+
+def test_stage_with_clashing_columns_and_very_long_text(spark, tmp_path):
+    leak = " ".join(f"q{i}" for i in range(30))
+    spark.createDataFrame([(1, leak)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(1, "word " * 200_000 + leak, "a", 1), (2, "clean", "b", 2), (2, "clean", "b", 2), (None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, found_leaks string, leak_key int")
+    assert sorted(map(str, map(tuple, d.stage(spark, docs, str(tmp_path)).collect()))) == sorted(map(str, rows[1:]))
