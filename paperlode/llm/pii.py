@@ -34,6 +34,8 @@ PATTERNS = {
 NEEDS = {"email": "@", "ip": ".", "card": "", "phone": "+"}
 TERM = r"\p{L}{3,}+"
 SUPPORT, GENERALISE, REMOVE = 2, 0.5, 0.8
+#: Bits of the map of rows that may be repeated (8 MB).
+FILTER_BITS = 1 << 26
 #: How far from an entity its terms may stand: as far as any text goes.
 WINDOW = 2**31 - 1
 #: Matches whose places are summed up in one go; longer lists are worked through in such parts.
@@ -126,6 +128,29 @@ def _held(found: DataFrame) -> DataFrame:
     return found.select(F.explode(F.array_distinct(names)).alias("entity"), "key").distinct()
 
 
+def term_counts(found: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int]:
+    """hash and n_term (rows that hold the term) over the whole corpus, and the number of rows; a row
+    that is repeated counts once, as it does for entities.
+
+    All rows are counted, partial counts go over the network, and what repeated rows have too much
+    is taken off. Which rows may be repeated is told by a bitmap of FILTER_BITS, the only thing that
+    is broadcast; where it is full, all rows are grouped by their keys, which is as right.
+    """
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    words = F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), lambda w: F.xxhash64(F.lower(w))))
+    at = F.pmod(F.xxhash64("key"), F.lit(FILTER_BITS))
+    page, bit = F.shiftright(at, 15), at.bitwiseAND(F.lit(32767)).cast("int")
+    again = found.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    pages = saved(again.groupBy(page.alias("page")).agg(F.bitmap_construct_agg(bit).alias("bits")), "pages")
+    keyed = docs.select(_key(id_col, text).alias("key"), text.alias(text_col)).withColumn("page", page).join(F.broadcast(pages), "page")
+    byte = F.conv(F.hex(F.substring("bits", F.shiftright(bit, 3) + 1, F.lit(1))), 16, 10).cast("int")
+    keyed = keyed.where(byte.bitwiseAND(F.pow(F.lit(2), bit.bitwiseAND(F.lit(7))).cast("int")) > 0)
+    more = saved(keyed.groupBy("key").agg(F.count("*").alias("n"), F.first(words).alias("hashes")).where("n > 1").select(F.col("n") - 1, "hashes").toDF("more", "hashes"), "again")
+    once = docs.select(F.explode(words).alias("hash"), F.lit(1).cast("long").alias("n"))
+    counts = once.union(more.select(F.explode("hashes").alias("hash"), -F.col("more"))).groupBy("hash").agg(F.sum("n").alias("n_term"))
+    return counts, docs.count() - (more.agg(F.sum("more")).first()[0] or 0)
+
+
 def disclosing_terms(found: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """entity, term, disclosed (share of the entity's information) and action; found has every row
     of docs, as an entity counts where it has no context too."""
@@ -135,12 +160,8 @@ def disclosing_terms(found: DataFrame, docs: DataFrame, id_col: str, text_col: s
     words = found.where(F.size("words") > 0).dropDuplicates(["key"]).select("key", F.array_distinct(F.transform("words", lambda w: w["term"])).alias("terms"))
     pairs = held.join(entities, "entity", "left_semi").join(words, "key").select("entity", F.explode("terms").alias("term"))
     met = pairs.groupBy("entity", "term").agg(F.count("*").alias("n_both")).where(F.col("n_both") >= SUPPORT)
-    # rows that hold a term, over the whole corpus; a row that is repeated counts once, as it does for entities
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    words = F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), lambda w: F.xxhash64(F.lower(w))))
-    once = saved(docs.select(_key(id_col, text).alias("key"), words.alias("hashes")).groupBy("key").agg(F.first("hashes").alias("hashes")), "words")
-    terms = once.select(F.explode("hashes").alias("hash")).groupBy("hash").agg(F.count("*").alias("n_term"))
-    n, log = F.lit(float(once.count())), F.log2
+    terms, n_rows = term_counts(found, docs, id_col, text_col)
+    n, log = F.lit(float(n_rows)), F.log2
     rows = met.join(entities, "entity").withColumn("hash", F.xxhash64("term")).join(terms, "hash")
     pmi = log(n) + log("n_both") - log("n_term") - log("n_entity")
     ic = log(n) - log("n_entity")
