@@ -1,4 +1,7 @@
-"""Errors of reading, checking and publishing a corpus."""
+"""Errors of reading, checking and publishing a corpus.
+
+Fixed values: the messages, which callers see and match.
+"""
 
 from __future__ import annotations
 

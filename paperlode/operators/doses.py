@@ -22,9 +22,14 @@ def signals(layout: Column) -> Column:
     return F.flatten(F.transform(text.lines(layout), of_line)).cast(f"array<{SIGNAL}>")
 
 
-def detect_dose_like_pages(pages: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
-    """Pages with a strength, or with two signals of any kind. No shuffle: each page is its own row."""
-    rows = pages.select(*keys, "source_id", "physical_page", signals(F.col("layout_text")).alias("signals"))
+#: What candidates need of their pages besides signals.
+PAGE_TEXT = ("printed_page_label", "layout_text")
+
+
+def detect_dose_like_pages(pages: DataFrame, keys: tuple[str, ...] = (), carry: tuple[str, ...] = ()) -> DataFrame:
+    """Pages with a strength, or with two signals of any kind; carry: further columns that come along.
+    No shuffle: each page is its own row."""
+    rows = pages.select(*keys, "source_id", "physical_page", signals(F.col("layout_text")).alias("signals"), *carry)
     return rows.where(F.exists("signals", lambda s: s["category"] == "strength") | (F.size("signals") >= 2))
 
 
@@ -48,10 +53,12 @@ def heading_as_of(places: DataFrame, headings: DataFrame, keys: tuple[str, ...]
 
 
 def group_dose_candidates(pages: DataFrame, headings: DataFrame, dose_pages: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
-    """A candidate for each run of consecutive dose-like pages of a source."""
+    """A candidate for each run of consecutive dose-like pages of a source. Dose pages that carry
+    PAGE_TEXT are not joined with pages again."""
     on = [*keys, "source_id"]
-    text_of = pages.select(*on, "physical_page", "printed_page_label", "layout_text")
-    rows = dose_islands(dose_pages, keys).join(text_of, [*on, "physical_page"])
+    rows = dose_islands(dose_pages, keys)
+    if not set(PAGE_TEXT) <= set(dose_pages.columns):
+        rows = rows.join(pages.select(*on, "physical_page", *PAGE_TEXT), [*on, "physical_page"])
     page = F.struct("physical_page", "printed_page_label", "layout_text", "signals")
     runs = rows.groupBy(*on, "island").agg(F.sort_array(F.collect_list(page)).alias("run"), F.min("physical_page").alias("physical_page"))
     runs = runs.select(

@@ -10,15 +10,23 @@ from ..operators import comparison, doses, headings, pages, report, review
 from ..sources import artifacts
 from ..sources.bbox import parse_bbox_layout
 from ..sources.config import check_files, config_issues
+from ..sources.tables import stored
 from . import corpus as run
 from .synthetic import LABEL, SIGNAL_SQL, corpus, page_records, reviews, sql, table
 
 K = ("cadre",)
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
+
+
+def _pages(spark: SparkSession, d: str, edition: str) -> DataFrame:
+    """An edition's pages with their labels, as a table: several operators read them."""
+    label = F.nullif(F.regexp_extract("layout_text", pages.patterns.PAGE_LABEL, 1), F.lit(""))
+    return stored(corpus(spark, d, edition).withColumn("printed_page_label", label), "pages")
 
 
 def _side(spark: SparkSession, d: str, edition: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    p = corpus(spark, d, edition).withColumn("printed_page_label", F.nullif(F.regexp_extract("layout_text", pages.patterns.PAGE_LABEL, 1), F.lit("")))
-    return p, headings.extract_headings(p, K), doses.detect_dose_like_pages(p, K)
+    p = _pages(spark, d, edition)
+    return p, headings.extract_headings(p, K), doses.detect_dose_like_pages(p, K, doses.PAGE_TEXT)
 
 
 def _candidates(spark: SparkSession, d: str, edition: str = "text") -> DataFrame:
@@ -106,10 +114,11 @@ def q_heading_as_of(spark, d):
 
 
 def q_dose_coverage(spark, d):
-    dose = _side(spark, d, "text")[2]
-    some = _candidates(spark, d).where(F.element_at("physical_pages", 1) % 3 != 0)
-    dismissed = dose.where("physical_page % 4 = 0").select("cadre", "physical_page")
-    return doses.validate_dose_coverage(dose, some, dismissed, K).select("source_id", "physical_page", "issue.code", "issue.message")
+    """Dose-like pages of the text edition held against the illustrated one's candidates, which lack
+    some pages; pages without a printed label are dismissed."""
+    p, _, dose = _side(spark, d, "text")
+    dismissed = p.where("printed_page_label is null").select("cadre", "physical_page")
+    return doses.validate_dose_coverage(dose, _candidates(spark, d, "illustrated"), dismissed, K).select("source_id", "physical_page", "issue.code", "issue.message")
 
 
 def q_normalize_text(spark, d):
@@ -157,11 +166,10 @@ def q_apply_reviews(spark, d):
 
 
 def _results(spark, d):
-    label = F.nullif(F.regexp_extract("layout_text", pages.patterns.PAGE_LABEL, 1), F.lit(""))
-    records = {s: corpus(spark, d, s).withColumn("printed_page_label", label).persist() for s in run.SIDES}
+    records = {s: _pages(spark, d, s) for s in run.SIDES}
     text_side = records["text"]
-    found = doses.group_dose_candidates(text_side, headings.extract_headings(text_side, K), doses.detect_dose_like_pages(text_side, K), K)
-    return run.analyse(records, reviews(found), DataFrame.persist)
+    found = doses.group_dose_candidates(text_side, headings.extract_headings(text_side, K), doses.detect_dose_like_pages(text_side, K, doses.PAGE_TEXT), K)
+    return run.analyse(records, reviews(stored(found, "candidates")), stored)
 
 
 def q_cadre_report(spark, d):
@@ -174,6 +182,15 @@ def q_issue_list(spark, d):
     return rows.select("cadre", "issue.code", "issue.message")
 
 
+def q_candidate_statuses(spark, d):
+    """Final statuses of the text edition's candidates, after comparison and reviews."""
+    return _results(spark, d).candidates["text"].select("candidate_id", "comparison_status", "clinical_review_status")
+
+
+def q_blocking_issues(spark, d):
+    return report.blocking_issues(_results(spark, d).reports).select(F.col("blocking_issues").cast("long").alias("blocking_issues"))
+
+
 def q_run_summary(spark, d):
     p, h, _ = _side(spark, d, "text")
     sources = p.select("source_id").distinct().withColumn("sha256", F.sha2("source_id", 256))
@@ -197,13 +214,14 @@ def q_bbox_pages(spark, d):
 
 
 def q_source_verification(spark, d):
-    """Files of the test data held against a manifest with one wrong size and one wrong hash."""
-    names = ["region", "nation", "supplier"]
-    paths = [f"{d}/{n}.parquet" for n in names]
+    """Files of the test data held against a manifest with one wrong size, one wrong hash and one file
+    that is not there."""
+    paths = [f"{d}/{n}.parquet" for n in TABLES]
     name = F.element_at(F.split("path", "/"), -1)
     files = spark.read.format("binaryFile").load(paths).select(name.alias("path"), F.col("length").alias("byte_size"), F.sha2("content", 256).alias("sha256"))
     expected = files.select("path", (F.col("byte_size") + F.when(F.col("path") == "nation.parquet", 1).otherwise(0)).alias("byte_size"),
                             F.when(F.col("path") == "supplier.parquet", F.upper("sha256")).otherwise(F.col("sha256")).alias("sha256"))
+    expected = expected.union(spark.range(1).select(F.lit("lost.parquet"), F.lit(1).cast("long"), F.lit("0" * 64)))
     return check_files(spark, expected, paths).select("path", "status")
 
 
@@ -253,10 +271,19 @@ ORACLE_SQL = {
       WHEN 'duplicate_heading' THEN section_number || ' resolves to multiple headings'
       WHEN 'page_reference_mismatch' THEN section_number || ' points to ' || printed_page_label || ', heading is on ' || coalesce('Some("' || found_label || '")', 'None') END AS message FROM refs"""),
     "dose_signals": sql("SELECT source_id, physical_page, line_index::BIGINT AS line_index, category, exact_text FROM sig WHERE ed = 'text'"),
-    "document_signals": "SELECT doc_id, category, sum(n)::BIGINT AS n FROM (" + " UNION ALL ".join(
-        f"SELECT doc_id, '{name}' AS category, len(regexp_extract_all(line, '{pattern}', 0)) AS n FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents WHERE length(text) = strlen(text))"
+    # characters beyond ASCII become ASCII ones of their kind: its pattern engine knows no others
+    "document_signals": "WITH t AS (SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(replace(replace(text, chr(383), 's'), chr(8490), 'k'),"
+        r" '[^\x00-\x7F\P{Nd}]', '5', 'g'), '[^\x00-\x7F\P{Z}]|\x{85}', ' ', 'g'), '[^\x00-\x7F\P{L}]|[^\x00-\x7F\P{M}]|[^\x00-\x7F\P{Pc}]|[^\x00-\x7F\P{Nl}]', 'Q', 'g') AS text FROM documents)"
+        " SELECT doc_id, category, sum(n)::BIGINT AS n FROM (" + " UNION ALL ".join(
+        f"SELECT doc_id, '{name}' AS category, len(regexp_extract_all(line, '{pattern}', 0)) AS n FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM t)"
         for name, pattern in SIGNAL_SQL.items()
     ) + ") GROUP BY ALL HAVING sum(n) > 0",
+    "exact_copies": r"""SELECT hash, count(*) AS n, min(doc_id) AS first_id FROM (
+      SELECT doc_id, sha256(trim(regexp_replace(coalesce(text, ''), '[\x09-\x0D\x{85}\p{Z}]+', ' ', 'g'))) AS hash FROM documents) GROUP BY hash HAVING count(*) > 1""",
+    "source_verification": "SELECT path, CASE path WHEN 'nation.parquet' THEN 'size_mismatch' WHEN 'supplier.parquet' THEN 'checksum_mismatch' WHEN 'lost.parquet' THEN 'missing' ELSE 'ok' END AS status FROM (VALUES "
+        + ", ".join(f"('{n}.parquet')" for n in (*TABLES, "lost")) + ") AS v(path)",
+    "candidate_statuses": sql("SELECT c.candidate_id, m.status AS comparison_status, r.status AS clinical_review_status FROM cand c JOIN cmp m ON c.candidate_id = m.text_candidate_id JOIN rev r ON c.candidate_id = r.candidate_id WHERE c.ed = 'text'"),
+    "blocking_issues": sql("SELECT count(*) AS blocking_issues FROM iss"),
     "dose_like_pages": sql("SELECT source_id, physical_page, n_signals, signals FROM dose WHERE ed = 'text'"),
     "dose_islands": sql("SELECT source_id, island, count(*) AS n_pages, min(physical_page) AS first_page FROM isl WHERE ed = 'text' GROUP BY ALL"),
     "dose_candidates": sql(f"SELECT {_CAND} FROM cand WHERE ed = 'text'"),

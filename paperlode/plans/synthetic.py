@@ -119,8 +119,8 @@ SQL_PARTS = {
       FROM (SELECT *, regexp_extract(line, '^\s*(\d+(?:\.\d+){0,3})\.?\s+(.+?)\s*$', 1) AS number,
               regexp_extract(line, '^\s*(\d+(?:\.\d+){0,3})\.?\s+(.+?)\s*$', 2) AS title FROM ln WHERE NOT toc)
       WHERE number <> '' AND (number LIKE '%.%' OR title = upper(title))""",
-    "tocs": r"""SELECT cadre, source_id, physical_page, line_index, regexp_extract(line, p, 1) AS section_number, trim(regexp_extract(line, p, 2)) AS title, regexp_extract(line, p, 3) AS printed_page_label
-      FROM ln, (SELECT '^\s*(\d+(?:\.\d+){0,3})\.?\s+(.+?)\s+(\d+)\s*$' AS p) WHERE toc AND regexp_matches(line, p)""",
+    "tocs": r"""SELECT cadre, source_id, physical_page, line_index, regexp_extract(line, 'P', 1) AS section_number, trim(regexp_extract(line, 'P', 2)) AS title, regexp_extract(line, 'P', 3) AS printed_page_label
+      FROM ln WHERE toc AND regexp_matches(line, 'P')""".replace("'P'", r"'^\s*(\d+(?:\.\d+){0,3})\.?\s+(.+?)\s+(\d+)\s*$'"),
     "sig": " UNION ALL ".join(
         f"SELECT ed, cadre, source_id, physical_page, line_index, {rank} AS rank, '{name}' AS category, unnest(regexp_extract_all(line, '{pattern}', 0)) AS exact_text, "
         f"generate_subscripts(regexp_extract_all(line, '{pattern}', 0), 1) AS nth FROM ln"
@@ -144,10 +144,9 @@ SQL_PARTS = {
       FROM (SELECT candidate_id, unnest(regexp_extract_all(normal, '[A-Z]+|\d+(?:\.\d+)?|[%/]', 0)) AS t,
               generate_subscripts(regexp_extract_all(normal, '[A-Z]+|\d+(?:\.\d+)?|[%/]', 0), 1) - 1 AS pos FROM norm)""",
     "prot": r"""SELECT candidate_id, string_agg(t, ' ' ORDER BY pos) AS tokens, string_agg(t || '@' || pos, ' ' ORDER BY pos) AS placed FROM tok
-      WHERE regexp_matches(t, '^[0-9]') OR t IN ('MG', 'MCG', 'G', 'ML', 'IU', 'KG', 'IM', 'IV', 'SC', 'ORAL', 'TOPICAL', 'INHALED', 'RECTAL', 'STAT', 'HOURLY',
-        'DAY', 'DAYS', 'MONTH', 'MONTHS', 'YEAR', 'YEARS', 'AGE', 'WEIGHT', 'NOT', 'NO', 'REFER', 'CONTRAINDICATED')
+      WHERE regexp_matches(t, '^[0-9]') OR t IN (PROTECTED)
         OR (regexp_matches(t, '^[A-Z]+$') AND regexp_matches(coalesce(after, ''), '^[0-9]'))
-      GROUP BY candidate_id""",
+      GROUP BY candidate_id""".replace("PROTECTED", ", ".join(f"'{t}'" for t in patterns.PROTECTED)),
     "sides": "SELECT norm.*, coalesce(tokens, '') AS tokens FROM norm LEFT JOIN prot ON norm.candidate_id = prot.candidate_id",
     "cmp": """SELECT t.cadre, t.candidate_id AS text_candidate_id, CASE WHEN i.n = 1 THEN i.id END AS illustrated_candidate_id,
         CASE WHEN i.n IS NULL THEN 'missing_in_illustrated' WHEN i.n > 1 THEN 'ambiguous_alignment' WHEN t.tokens <> i.tokens THEN 'content_mismatch'
@@ -170,8 +169,9 @@ SQL_PARTS = {
       LEFT JOIN (SELECT cadre, section_number, trim(regexp_replace(title, '\\s+', ' ', 'g')) AS same, count(*) AS n FROM heads WHERE ed = 'illustrated' GROUP BY ALL) i
         ON t.cadre = i.cadre AND t.section_number = i.section_number AND t.same = i.same""".replace("\\\\", "\\"),
     "uncov": """SELECT d.cadre, d.source_id, d.physical_page FROM dose d WHERE d.ed = 'text' AND NOT EXISTS (
-        SELECT 1 FROM (SELECT cadre, unnest(string_split(pages, ','))::BIGINT AS page FROM cand WHERE ed = 'text' AND first_page % 3 <> 0) c
-        WHERE c.cadre = d.cadre AND c.page = d.physical_page) AND d.physical_page % 4 <> 0""",
+        SELECT 1 FROM (SELECT cadre, unnest(string_split(pages, ','))::BIGINT AS page FROM cand WHERE ed = 'illustrated') c
+        WHERE c.cadre = d.cadre AND c.page = d.physical_page)
+      AND NOT EXISTS (SELECT 1 FROM allpages p WHERE p.ed = 'text' AND p.label IS NULL AND p.cadre = d.cadre AND p.physical_page = d.physical_page)""",
     "iss": """SELECT cadre, 'hierarchy_regression' AS code, section_number || ' appears after a later numbered heading' AS message FROM hier
       UNION ALL SELECT cadre, CASE status WHEN 'stale' THEN 'stale_clinical_review' ELSE 'conflicting_clinical_review' END,
         'clinical review for ' || candidate_id || ' is not valid for the current exact content' FROM rev WHERE status IN ('stale', 'conflict')

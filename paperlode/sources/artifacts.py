@@ -76,11 +76,11 @@ def digest_of(artifacts: DataFrame, keys: list[str]) -> DataFrame:
     """keys and digest of artifacts (path, content), for each group of keys."""
 
     def framed(x: Column) -> Column:
-        return F.concat(F.unhex(F.lpad(F.hex(F.octet_length(x)), 16, "0")), x)
+        return F.concat(F.lpad(F.hex(F.octet_length(x)), 16, "0"), F.hex(x))
 
     one = F.struct(F.col("path").cast("binary").alias("path"), F.concat(framed(F.col("path").cast("binary")), framed(F.col("content").cast("binary"))).alias("framed"))
     rows = artifacts.groupBy(*keys).agg(F.sort_array(F.collect_list(one)).alias("all"))
-    whole = F.aggregate("all", F.lit(b""), lambda acc, x: F.concat(acc, x["framed"]))
+    whole = F.unhex(F.array_join(F.transform("all", lambda x: x["framed"]), ""))
     return rows.select(*keys, F.sha2(whole, 256).alias("digest"))
 
 
