@@ -2,12 +2,7 @@
 
 from __future__ import annotations
 
-import atexit
-import contextlib
-import shutil
-import tempfile
 import threading
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -15,7 +10,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_local_dirs: dict[str, str] = {}
+from ..sources.tables import new_path, remove
+
 _scopes = threading.local()
 
 
@@ -23,38 +19,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir, which driver and executors share.
-
-    Where that setting is unset and all runs in one process (tests), a temporary folder stands in
-    and is removed at exit. A cluster without that setting is an error: its executors have no
-    folder in common.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    master = spark.sparkContext.master
-    if master != "local" and not master.startswith("local["):
-        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _local_dirs:
-        _local_dirs[app] = tempfile.mkdtemp(prefix="paperlode-")
-        atexit.register(shutil.rmtree, _local_dirs[app], ignore_errors=True)
-    return f"file://{_local_dirs[app]}"
-
-
-def _remove(spark: SparkSession, path: str) -> None:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-
-
 def saved(df: DataFrame, tag: str) -> DataFrame:
     """df as a Parquet table in the shared folder: cuts lineage and survives lost executors.
 
-    Inside distilled, the table goes when that is done.
+    Inside distilled, the table goes when that is done; else, when the driver ends.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/paperlode/{tag}-{uuid.uuid4().hex}"
+    path = new_path(spark, tag)
     scope = getattr(_scopes, "paths", None)
     if scope is not None:
         scope.append(path)
@@ -74,8 +45,7 @@ def distilled(spark: SparkSession, tag: str, build: Callable[[], DataFrame]) ->
     finally:
         _scopes.paths = outer
         for path in inner:
-            with contextlib.suppress(Exception):  # what is left of a table does no harm
-                _remove(spark, path)
+            remove(spark, path)
 
 
 def release(spark: SparkSession) -> None:
