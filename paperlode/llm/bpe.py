@@ -3,10 +3,13 @@
 Texts are cut into pieces by the vocabulary's pattern. Pieces that a worker has not met yet are
 put into matrices by length, padded to a common width; in each round every row merges its leftmost
 pair of minimum rank, pairs are looked up in an open-addressing hash table, and finished rows leave
-the matrix. Pieces longer than LONG bytes are merged with a heap, in n log n steps.
+the matrix. Pieces longer than LONG bytes are merged with a heap, in n log n steps, to the same ids:
+a row of a matrix takes as many rounds as it has merges, each as long as the row, which grows with
+the square of a piece's length.
 
 Results for odd input: a null text is an empty one, with no ids; ids of a text do not depend on
-the other rows of its batch.
+the other rows of its batch; repeated rows, and rows without id, get a row each; other columns of the
+input don't come along, whatever their names; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -233,6 +236,7 @@ def digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """digests of docs with the public byte-level vocabulary: one row for each row, whatever its text."""
     import public_tokenizers
 
     return digests(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)

@@ -1,7 +1,7 @@
 """Line dedup: fuzzy lines by MinHash, one line kept per component.
 
 Lines are lower-cased with white space collapsed. The shingles of a line are its runs of SHINGLE
-characters; least hashes of them under HASHES functions make BANDS buckets. Lines that share a
+characters; least hashes of them under BANDS times ROWS functions make BANDS buckets. Lines that share a
 bucket are compared by the exact Jaccard similarity of their shingle sets, links of JACCARD or more
 are joined to components by a distributed union-find, and of each component the first line (by
 doc_id, text, place) stays. Lines of less than MIN_CHARS characters, blank ones among them, carry
@@ -9,7 +9,7 @@ too little to call them copies and always stay.
 
 Results for odd input: null texts count as empty and come back as null; rows of equal doc_id and
 text count as one document and keep the same lines; rows without doc_id come last; line ends are
-``\\n`` and stay as they are; a text whose lines all go becomes empty.
+``\\n`` and stay as they are; a text whose lines all go becomes empty; other columns come along.
 """
 
 from __future__ import annotations

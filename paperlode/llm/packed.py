@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from .common import saved, shuffle_partitions
 
 #: Entries of a packed run (13 bytes each), and members of a row that goes to a task at random.
-RUN, CHUNK = 1 << 21, 1 << 16
+RUN, CHUNK = 1 << 20, 1 << 16
 #: Bits of a bucket within its range; with the range's number they name it. Two buckets of one name
 #: only make further candidates.
 BITS = 40

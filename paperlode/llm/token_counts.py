@@ -6,7 +6,8 @@ so far is cut off, and the number of pieces that are cut off on the way. Countin
 walk over its bytes; no piece is ever built. Words that a worker has met are remembered.
 
 Results for odd input: null and empty texts have 0 tokens; a word that no sequence of pieces
-covers counts as one unknown token.
+covers counts as one unknown token; repeated rows, and rows without id, get a row each; other columns
+don't come along; an empty table gives an empty one.
 """
 
 from __future__ import annotations

@@ -32,3 +32,11 @@ def test_equals_plain_collapse(spark, monkeypatch):
     got = {x.conv_id: (x.n_turns, x.n_copies, x.rendered) for x in chat.format_chats(df).collect()}
     assert got == plain(rows)
     assert chat.format_chats(df.limit(0)).count() == 0
+
+
+def test_long_conversation_and_empty_table(spark, tmp_path):
+    turns = [(1, i, "user", f"turn {i}") for i in range(5000)] + [(2, i, "user", f"turn {i}") for i in range(4000)] + [(3, 0, "user", "long " * 100_000)]
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    got = {x.conv_id: (x.n_turns, len(x.rendered)) for x in chat.format_chats(df).collect()}
+    assert set(got) == {1, 3} and got[1][0] == 5000 and got[3][1] > 500_000
+    assert chat.format_chats(df.limit(0)).count() == 0

@@ -96,3 +96,42 @@ def test_short_lines_are_copies_too(spark):
     docs = [(1, "and ornd.\nok\n\n8 chars!"), (2, "And  ornd.\nok\n\nelse here"), (3, "8 chars!\nand orne.\nok")]
     out = {x.doc_id: x.text for x in lines.dedup(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
     assert out == {1: docs[0][1], 2: "ok\n\nelse here", 3: "and orne.\nok"}
+
+
+def test_recall_by_similarity():
+    r = random.Random(4)
+    word = lambda n: "".join(r.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    met, all_ = defaultdict(int), defaultdict(int)
+    pairs = []
+    for _ in range(4000):
+        x = word(r.randint(40, 300))
+        y = x
+        for _ in range(r.randint(0, 3)):
+            at = r.randrange(len(y))
+            y = y[:at] + word(r.randint(0, 6)) + y[at + r.randint(0, 4) :]
+        if len(y) >= lines.SHINGLE:
+            pairs.append((x, y))
+    one, two = (lines.signatures(list(x)) for x in zip(*pairs))
+    for (x, y), hit in zip(pairs, (one == two).any(axis=1)):
+        p, q = shingle_set(x), shingle_set(y)
+        level = int(20 * len(p & q) / len(p | q) + 1e-9)
+        if level >= 16:
+            all_[level] += 1
+            met[level] += bool(hit)
+    assert len(all_) >= 4 and min(all_.values()) >= 20
+    assert all(met[k] >= 0.995 * all_[k] for k in all_), (met, all_)
+
+
+def test_clashing_columns_and_mixed_characters(spark):
+    base = "the very same line stands here, again and again, in two documents"
+    rows = [(1, base, "a", [1], 5), (2, base + "…", "b", None, 6), (3, base + "\n" + base, "c", [2], 7), (None, None, None, None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, dedup_key string, dropped_line_places array<int>, later int")
+    got = {x.doc_id: tuple(x)[1:] for x in lines.stage(spark, df, "").collect()}
+    assert got == {1: (base, "a", [1], 5), 2: ("", "b", None, 6), 3: ("", "c", [2], 7), None: (None, None, None, None)}
+
+
+def test_query_equals_dedup(spark, tmp_path):
+    rows = [(1, "one line that is there twice\nand one that is not"), (2, "One line that  is there twice"), (None, None)]
+    spark.createDataFrame([(*x, "q") for x in rows], "doc_id long, text string, n_lines string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {x.doc_id: (x.n_lines, x.n_dropped, x.dropped) for x in lines.op3_line_dedup(spark, str(tmp_path)).collect()}
+    assert got == {1: (2, 0, None), 2: (1, 1, "0"), None: (1, 0, None)}

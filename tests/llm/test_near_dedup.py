@@ -113,3 +113,72 @@ def test_stage_keeps_one_of_each(spark):
     assert kept.columns == df.columns
     assert sorted(map(str, map(tuple, kept.collect()))) == sorted(map(str, [rows[1], rows[3], rows[5]]))
     assert n.stage(spark, df.limit(0), "").count() == 0
+
+
+def test_recall_by_similarity():
+    """Of pairs at each similarity from 0.8 on, nearly all share a bucket."""
+    r = random.Random(11)
+    pairs = []
+    for _ in range(900):
+        base = [f"w{r.randint(0, 10**6)}" for _ in range(r.randint(60, 300))]
+        a, b = edited(r, base, r.randint(0, 3)), edited(r, base, r.randint(0, 5))
+        pairs.append((" ".join(a), " ".join(b)))
+    grams, first = n.shingles(pa.array([x for p in pairs for x in p]))
+    buckets, seq = n.order_minhash(grams, first), [grams[a:b].tolist() for a, b in zip(first, first[1:])]
+    met, all_ = Counter(), Counter()
+    for k in range(len(pairs)):
+        a, b = seq[2 * k], seq[2 * k + 1]
+        m = lcs(a, b)
+        level = int(m / (len(a) + len(b) - m) * 20 + 1e-9)
+        if level >= 16:
+            all_[level] += 1
+            met[level] += bool((buckets[2 * k] == buckets[2 * k + 1]).any())
+    assert len(all_) >= 4 and min(all_.values()) >= 5
+    assert all(met[k] >= 0.98 * all_[k] for k in all_), (met, all_)
+
+
+def test_stage_with_clashing_columns_and_a_very_long_text(spark):
+    long = " ".join(f"w{i}" for i in range(120_000))
+    rows = [(1, long, "k", 1, 2), (2, long + " end", "k", 1, 2), (3, "", "k", 1, 2), (4, None, None, None, None), (5, "x", "k", 1, 2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, kept_node string, least int, n_least int")
+    assert sorted(map(str, map(tuple, n.stage(spark, df, "").collect()))) == sorted(map(str, [rows[0], rows[2], rows[4]]))
+
+
+def test_query_gives_every_document(spark, tmp_path):
+    r = random.Random(3)
+    texts = make(r, 8, 4) + [None, ""]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {x.doc_id: x.class_id for x in n.op2_near_dedup(spark, str(tmp_path)).collect()}
+    want = {x.doc_id: x.class_id for x in n.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert got == want and len(got) == len(texts) and got[len(texts) - 1] == len(texts) - 2
+
+
+def test_packed_runs_find_all_shared_buckets(monkeypatch):
+    """Members of shared buckets, whatever runs they stand in; ids that come again."""
+    from paperlode.llm import packed
+
+    monkeypatch.setattr(packed, "CHUNK", 3)
+    r = np.random.default_rng(5)
+    bands_of = {i: r.integers(0, 60, 4).astype(np.uint64) << np.uint64(30) for i in range(1, 80)}
+    runs = [[int(i) for i in r.integers(1, 80, 25)] for _ in range(6)]
+    rows = []
+    for run in runs:
+        ids = np.array(run, np.int64)
+        rows += packed.packed_run(ids, np.array([bands_of[i] for i in run]), ids[:0], 3).to_pylist()
+    by_part = defaultdict(list)
+    for x in rows:
+        by_part[x["part"]].append(tuple(x[c] for c in packed.FIELDS))
+    got, again = set(), set()
+    for part in by_part.values():
+        for buckets, ids, _ in packed.shared_members(part):
+            if buckets is None:
+                again |= set(ids.tolist())
+            else:
+                got |= set(zip(buckets.tolist(), ids.tolist()))
+    members = defaultdict(set)
+    for i in {i for run in runs for i in run}:
+        for b in packed.names_of(bands_of[i], 3).view(np.int64).tolist():
+            members[b].add(i)
+    count = Counter(i for run in runs for i in run)
+    assert got == {(b, i) for b, x in members.items() if len(x) > 1 for i in x}
+    assert again == {i for i, k in count.items() if k > 1}

@@ -27,3 +27,10 @@ def test_stages_take_effect(spark, tmp_path):
     assert len(kept & {300, 302}) <= 1  # both are empty by now, so one of them goes
     out = corpus_pipeline.run(spark, str(tmp_path))
     assert {x.doc_id for x in out.collect()} == kept and out.columns[:2] == ["doc_id", "n_tokens"]
+
+
+def test_empty_tables(spark, tmp_path):
+    spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0

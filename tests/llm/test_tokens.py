@@ -76,3 +76,17 @@ def test_token_counts_with_the_public_vocabulary(spark):
     df = spark.createDataFrame([(i, t) for i, t in enumerate([*TEXTS[:60], None])], "doc_id long, text string")
     got = dict(token_counts.count_tokens(df, P.path("byte_bpe_50k.tiktoken")).collect())
     assert got == {i: sum(greedy(w.encode(), first, rest) for w in token_counts.WORDS.findall(t or "")) for i, t in enumerate([*TEXTS[:60], None])}
+
+
+def test_queries_take_odd_rows_and_empty_tables(spark, tmp_path):
+    from paperlode.llm import bpe, token_counts
+
+    rows = [(1, "a text of some words", 1, b"x"), (1, "a text of some words", 1, b"x"), (None, None, None, None), (2, "", 0, b""), (3, "long " * 60_000 + "x" * 70_000, 5, b"y")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n_tokens int, ids binary")
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    df.limit(0).write.parquet(f"{tmp_path}/none/documents.parquet")
+    for query in (bpe.op8_bpe, token_counts.op5_token_counts):
+        out = query(spark, str(tmp_path)).collect()
+        got = {x.doc_id: x.n_tokens for x in out}
+        assert len(out) == 5 and got[1] > 3 and got[None] == got[2] == 0 and got[3] > 60_000
+        assert query(spark, f"{tmp_path}/none").count() == 0
