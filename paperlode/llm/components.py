@@ -135,7 +135,7 @@ class Common:
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple]]]:
-    """x and the rows (rest, node, root, payload) of each (bucket, x, y) of sorted batches."""
+    """x and the rows (rest, root, payload) of each (bucket, x, y) of sorted batches."""
     key, rows = None, []
     for batch in batches:
         columns = [c.to_pylist() for c in batch.columns]
@@ -150,9 +150,9 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple
 
 
 def block_links(rows: list[tuple], inner: bool, matcher: Matcher) -> list[tuple[bytes, bytes]]:
-    """Links that join components among rows (rest, node, root, payload): of each row of the rest with
-    those that aren't, and if inner with others of the rest."""
-    rest, nodes, roots, payloads = zip(*rows)
+    """Pairs of roots whose components a link joins, of rows (rest, root, payload): of each row of the
+    rest with those that aren't, and if inner with others of the rest."""
+    rest, roots, payloads = zip(*rows)
     number: dict[bytes, int] = {}
     own = np.array([number.setdefault(r, len(number)) for r in roots])
     if len(number) == 1:
@@ -165,7 +165,7 @@ def block_links(rows: list[tuple], inner: bool, matcher: Matcher) -> list[tuple[
         found = np.arange(len(rows)) if common is None else common.alike(k)
         for m in found[own[found] != own[k]].tolist():
             if own[m] != own[k] and (not rest[m] or (inner and m < k)) and matcher.test(ready(m), ready(k)):
-                links.append((nodes[m], nodes[k]))
+                links.append((roots[m], roots[k]))
                 own[own == own[m]] = own[k]
     return links
 
@@ -206,7 +206,7 @@ def _hub_links(members: DataFrame, hubs: DataFrame, held: DataFrame, matcher: Ma
 
 
 def _block_rows(members: DataFrame, hubs: DataFrame, held: DataFrame, joined: DataFrame) -> DataFrame:
-    """bucket, x, y, rest, node, root and payload: what block x of a bucket's largest component (or,
+    """bucket, x, y, rest, root and payload: what block x of a bucket's largest component (or,
     below 0, block -1 - x of its rest) and block y of its rest hold."""
     names = held.select("id", "node", F.octet_length("payload").alias("size")).join(joined, "node", "left").select("id", F.coalesce("root", "node").alias("root"), "size")
     # hubs were tested against all; between two of three members nothing else is left
@@ -228,7 +228,7 @@ def _block_rows(members: DataFrame, hubs: DataFrame, held: DataFrame, joined: Da
         F.transform(F.slice(upto(F.col("ys")), F.col("own") + 2, F.col("ys")), lambda y: row(-1 - F.col("own"), y, F.lit(False))),
     )
     rows = rows.withColumn("own", own).select("bucket", "id", "root", F.explode(F.when(F.col("rest"), rest).otherwise(main)).alias("at"))
-    return rows.join(held, "id").select("bucket", "at.x", "at.y", "at.rest", "node", "root", "payload")
+    return rows.join(held, "id").select("bucket", "at.x", "at.y", "at.rest", "root", "payload")
 
 
 def _near_components(members: DataFrame, met: DataFrame, payloads: Callable[[DataFrame], DataFrame], matcher: Matcher) -> DataFrame:
@@ -239,7 +239,10 @@ def _near_components(members: DataFrame, met: DataFrame, payloads: Callable[[Dat
     hubs = members.join(met, "id").groupBy("bucket").agg(F.max_by("id", "met").alias("hub"), F.min("id").alias("second"), F.count("*").alias("n"))
     hubs = saved(hubs, "tops")
     links = _hub_links(members, hubs, held, matcher)
-    left = _block_rows(members, hubs, held, connected_components(links))
-    left = left.repartition(shuffle_partitions(spark), "bucket", "x", "y").sortWithinPartitions("bucket", "x", "y", "node")
-    more = saved(left.mapInArrow(_between_blocks(matcher), "a binary, b binary"), "links")
-    return connected_components(links.union(more))
+    joined = connected_components(links)
+    left = _block_rows(members, hubs, held, joined).repartition(shuffle_partitions(spark), "bucket", "x", "y").sortWithinPartitions("bucket", "x", "y", "root")
+    # what blocks link are components, so only those are joined once more
+    top = connected_components(saved(left.mapInArrow(_between_blocks(matcher), "a binary, b binary"), "links"))
+    top = top.select(F.col("node").alias("root"), F.col("root").alias("top"))
+    alone = top.join(joined.select(F.col("node").alias("root")), "root", "left_anti").select(F.col("root").alias("node"), F.col("top").alias("root"))
+    return joined.join(top, "root", "left").select("node", F.coalesce("top", "root").alias("root")).union(alone)
