@@ -1,7 +1,12 @@
 """A training corpus from raw documents, stage by stage.
 
 Each stage takes (spark, docs, sf_dir) and gives a DataFrame, which is written and read again before
-the next one. All but the last keep the columns of documents.
+the next one. All but the last keep the columns of documents, and further ones, whatever their names.
+
+Results for odd input: a null text stays null up to the near duplicates, where it counts as an empty
+one, and of all empty texts one stays; repeated rows get the same score and lose the same lines, and
+one of them stays; rows without doc_id go through all stages, after those with one; without labels
+every score is 0.5 and no row goes for its quality; an empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -166,10 +166,7 @@ def q_apply_reviews(spark, d):
 
 
 def _results(spark, d):
-    records = {s: _pages(spark, d, s) for s in run.SIDES}
-    text_side = records["text"]
-    found = doses.group_dose_candidates(text_side, headings.extract_headings(text_side, K), doses.detect_dose_like_pages(text_side, K, doses.PAGE_TEXT), K)
-    return run.analyse(records, reviews(stored(found, "candidates")), stored)
+    return run.analyse({s: _pages(spark, d, s) for s in run.SIDES}, reviews, stored)
 
 
 def q_cadre_report(spark, d):
