@@ -267,7 +267,10 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", colum
     key = free_name([*docs.columns, column], "dedup_key")
     gone = dropped_lines(docs, id_col, text_col).groupBy(F.col("doc").alias(key)).agg(F.sort_array(F.collect_list("line")).alias(column))
     rows = docs.withColumn(key, document_key(id_col, text_col)).join(gone.hint("shuffle_hash"), key, "left").drop(key)
-    return rows.withColumn(text_col, F.pandas_udf(_without, "string")(text_col, column))
+    # texts that stay whole are not sent to Python
+    some = F.col(column).isNotNull()
+    left = F.pandas_udf(_without, "string")(F.when(some, F.col(text_col)), column)
+    return rows.withColumn(text_col, F.when(some, left).otherwise(F.col(text_col)))
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
