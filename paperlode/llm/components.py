@@ -11,6 +11,8 @@ Used with any sketch: the caller brings the members of shared buckets and a Matc
    tests pairs of different components only, as a local union-find goes on. So no link between
    components of a bucket is lost, and what comes out is a forest, never all pairs of a group.
    Rows: each member of the largest component once for each block of the rest, mostly one.
+   What a bucket or hub has is joined to its rows where they are, if it is a hot one, so that no
+   task gets all of them.
 3. Components of all links: each node hooks onto its smallest neighbour, two steps at a time, and
    edges are rewritten until none is left. All state is in tables in the shared folder.
 """
@@ -31,6 +33,8 @@ from .common import distilled, release, saved, shuffle_partitions
 #: Members and bytes of payloads in a block, rows of two blocks up to which no index is made, members
 #: of a hub that one task tests in one go, and entries of the index that are counted in one go.
 BLOCK, BLOCK_BYTES, FEW, FANS, ENTRIES = 4096, 8 << 20, 16, 1024, 1 << 21
+#: A key of more than one HOTth of the rows is hot. There are less than HOT of these at any size.
+HOT = 4096
 
 
 @dataclass
@@ -193,13 +197,23 @@ def near_components(members: DataFrame, met: DataFrame, payloads: Callable[[Data
     return distilled(members.sparkSession, "roots", lambda: _near_components(members.select("bucket", "id"), met, payloads, matcher))
 
 
+def spread_join(rows: DataFrame, groups: DataFrame, key: str) -> DataFrame:
+    """rows and what groups, a saved table with one row for each key, says of theirs. n of groups is
+    how many rows there are of a key; those of hot keys stay where they are, as the less than HOT
+    groups that can be hot are broadcast."""
+    total = groups.agg(F.sum("n")).first()[0] or 0
+    hot = F.col("n") * HOT > total
+    few, many = groups.where(~hot).drop("n"), F.broadcast(groups.where(hot).drop("n"))
+    return rows.join(many, key).unionByName(rows.join(many, key, "left_anti").join(few, key))
+
+
 def _hub_links(members: DataFrame, hubs: DataFrame, held: DataFrame, matcher: Matcher) -> DataFrame:
-    pairs = members.join(hubs, "bucket").select("id", F.explode(F.array_distinct(F.array("hub", "second"))).alias("hub")).where("id <> hub")
+    pairs = spread_join(members, hubs, "bucket").select("id", F.explode(F.array_distinct(F.array("hub", "second"))).alias("hub")).where("id <> hub")
     # a pair of hubs is tested once
     pairs = saved(pairs.select(F.least("id", "hub").alias("id"), F.greatest("id", "hub").alias("hub"), (F.col("id") < F.col("hub")).alias("up")).groupBy("id", "hub").agg(F.max("up").alias("up")), "pairs")
     pairs = pairs.select(F.when(F.col("up"), F.col("id")).otherwise(F.col("hub")).alias("id"), F.when(F.col("up"), F.col("hub")).otherwise(F.col("id")).alias("hub"))
-    tasks = saved(pairs.groupBy("hub").agg(F.ceil(F.count("*") / FANS).cast("int").alias("salts")), "hubs")
-    fans = pairs.join(tasks, "hub").join(held, "id").select("hub", F.pmod(F.xxhash64("id"), F.col("salts")).cast("int").alias("salt"), F.lit(True).alias("fan"), "node", "payload")
+    tasks = saved(pairs.groupBy("hub").agg(F.ceil(F.count("*") / FANS).cast("int").alias("salts"), F.count("*").alias("n")), "hubs")
+    fans = spread_join(pairs, tasks, "hub").join(held, "id").select("hub", F.pmod(F.xxhash64("id"), F.col("salts")).cast("int").alias("salt"), F.lit(True).alias("fan"), "node", "payload")
     own = tasks.join(held.withColumnRenamed("id", "hub"), "hub").select("hub", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(False).alias("fan"), "node", "payload")
     stars = fans.union(own).repartition(shuffle_partitions(members.sparkSession), "hub", "salt").sortWithinPartitions("hub", "salt", "fan")
     return saved(_starred(stars, matcher), "links")
@@ -210,14 +224,14 @@ def _block_rows(members: DataFrame, hubs: DataFrame, held: DataFrame, joined: Da
     below 0, block -1 - x of its rest) and block y of its rest hold."""
     names = held.select("id", "node", F.octet_length("payload").alias("size")).join(joined, "node", "left").select("id", F.coalesce("root", "node").alias("root"), "size")
     # hubs were tested against all; between two of three members nothing else is left
-    open_ = members.join(hubs.where("n > 3"), "bucket").where("id <> hub and id <> second").select("bucket", "id").join(names, "id")
+    open_ = spread_join(members, hubs.where("n > 3"), "bucket").where("id <> hub and id <> second").select("bucket", "id").join(names, "id")
     open_ = saved(open_.select("bucket", "id", "root", "size"), "open")
     kinds = open_.groupBy("bucket", "root").agg(F.count("*").alias("n"), F.sum("size").alias("size"))
     mixed = kinds.groupBy("bucket").agg(F.max(F.struct("n", "size", "root")).alias("most"), F.sum("n").alias("n"), F.sum("size").alias("size"), F.count("*").alias("kinds")).where("kinds > 1")
     blocks = lambda n, size: F.greatest(F.ceil(n / BLOCK), F.ceil(size / BLOCK_BYTES)).cast("int")
     most = F.col("most")
-    mixed = mixed.select("bucket", most["root"].alias("main"), blocks(most["n"], most["size"]).alias("xs"), blocks(F.col("n") - most["n"], F.col("size") - most["size"]).alias("ys"))
-    rows = open_.join(mixed, "bucket").withColumn("rest", F.col("root") != F.col("main"))
+    mixed = mixed.select("bucket", most["root"].alias("main"), blocks(most["n"], most["size"]).alias("xs"), blocks(F.col("n") - most["n"], F.col("size") - most["size"]).alias("ys"), "n")
+    rows = spread_join(open_, saved(mixed, "mixed"), "bucket").withColumn("rest", F.col("root") != F.col("main"))
     own = F.pmod(F.xxhash64("id", F.lit(7)), F.when(F.col("rest"), F.col("ys")).otherwise(F.col("xs"))).cast("int")
     row = lambda x, y, rest: F.struct(x.cast("int").alias("x"), y.cast("int").alias("y"), rest.alias("rest"))
     upto = lambda n: F.slice(F.sequence(F.lit(0), n), F.lit(1), n)  # noqa: E731  0 to n - 1

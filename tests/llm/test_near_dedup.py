@@ -182,3 +182,14 @@ def test_packed_runs_find_all_shared_buckets(monkeypatch):
     count = Counter(i for run in runs for i in run)
     assert got == {(b, i) for b, x in members.items() if len(x) > 1 for i in x}
     assert again == {i for i, k in count.items() if k > 1}
+
+
+def test_hot_keys_are_joined_like_others(spark):
+    hot, keys = 3 * c.HOT, 2 * c.HOT  # one hot key, others with a row each, and some without a group
+    rows = spark.range(hot + keys).selectExpr(f"if(id < {hot}, -1, id) as bucket", "id")
+    groups = rows.groupBy("bucket").count().withColumnRenamed("count", "n").where("bucket % 5 <> 0").selectExpr("bucket", "bucket * 2 as twice", "n")
+    got = c.spread_join(rows, groups, "bucket")
+    want = rows.join(groups.drop("n"), "bucket")
+    assert got.columns == want.columns
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert c.spread_join(rows.limit(0), groups.limit(0), "bucket").count() == 0
