@@ -5,6 +5,7 @@ Used with any sketch: the caller brings the members of shared buckets and a Matc
 1. Two members of a bucket are its hubs: the one that meets most others over all its buckets (in a
    group of copies, mostly the text they were made from), and the one of least id. All other
    members are tested against them. A hub's pairs come together with one copy of its payload.
+   Buckets of two and three come as their pairs, which are tested in the same way.
 2. Links so far are contracted to components. In a bucket that still holds several, its largest one
    and the rest are cut into blocks; a block of the rest meets each block of the largest one and
    of the rest. A block pair counts what its payloads have in common with an inverted index and
@@ -115,11 +116,14 @@ class Common:
     def __init__(self, features: list[np.ndarray]):
         self.size = np.array([len(f) for f in features])
         owner = np.repeat(np.arange(len(features)), self.size)
-        values, code = np.unique(np.concatenate(features), return_inverse=True)
-        self.codes, self.first = code, np.concatenate([[0], np.cumsum(self.size)])
-        order = np.argsort(code, kind="stable")
+        values = np.concatenate(features)
+        order = np.argsort(values)
+        values = values[order]
+        new = np.concatenate([[True], values[1:] != values[:-1]])
+        self.codes, self.first = np.empty(len(values), np.int64), np.concatenate([[0], np.cumsum(self.size)])
+        self.codes[order] = np.cumsum(new) - 1
         self.owner = owner[order]
-        self.start = np.concatenate([[0], np.cumsum(np.bincount(code, minlength=len(values)))])
+        self.start = np.append(np.flatnonzero(new), len(values))
 
     def alike(self, k: int) -> np.ndarray:
         """The others that have enough in common with k, most first."""
@@ -185,16 +189,17 @@ def _between_blocks(matcher: Matcher) -> Callable[[Iterator[pa.RecordBatch]], It
 
 def met_by_id(members: DataFrame) -> DataFrame:
     """id and met of every member: how many others it meets over all its buckets."""
-    return saved(members.groupBy("id").agg(F.sum("met").alias("met")), "met")
+    others = members.where("other is not null").select(F.col("other").alias("id"), "met")
+    return saved(members.select("id", "met").union(others).groupBy("id").agg(F.sum("met").alias("met")), "met")
 
 
 def near_components(members: DataFrame, met: DataFrame, payloads: Callable[[DataFrame], DataFrame], matcher: Matcher) -> DataFrame:
     """node and root of every node that is linked to another.
 
-    members: bucket and id (longs) of what shares buckets. met: met_by_id of them. payloads: gives id, node (binary key, of
+    members: bucket and id, or id and other, of what shares buckets (shared_buckets). met: met_by_id of them. payloads: gives id, node (binary key, of
     which id is a hash) and payload (binary) for the ids of a DataFrame, one row a node.
     """
-    return distilled(members.sparkSession, "roots", lambda: _near_components(members.select("bucket", "id"), met, payloads, matcher))
+    return distilled(members.sparkSession, "roots", lambda: _near_components(members, met, payloads, matcher))
 
 
 def spread_join(rows: DataFrame, groups: DataFrame, key: str) -> DataFrame:
@@ -207,10 +212,11 @@ def spread_join(rows: DataFrame, groups: DataFrame, key: str) -> DataFrame:
     return rows.join(many, key).unionByName(rows.join(many, key, "left_anti").join(few, key))
 
 
-def _hub_links(members: DataFrame, hubs: DataFrame, held: DataFrame, matcher: Matcher) -> DataFrame:
+def _hub_links(members: DataFrame, hubs: DataFrame, couples: DataFrame, held: DataFrame, matcher: Matcher) -> DataFrame:
     pairs = spread_join(members, hubs, "bucket").select("id", F.explode(F.array_distinct(F.array("hub", "second"))).alias("hub")).where("id <> hub")
     # a pair of hubs is tested once
-    pairs = saved(pairs.select(F.least("id", "hub").alias("id"), F.greatest("id", "hub").alias("hub"), (F.col("id") < F.col("hub")).alias("up")).groupBy("id", "hub").agg(F.max("up").alias("up")), "pairs")
+    pairs = pairs.select(F.least("id", "hub").alias("id"), F.greatest("id", "hub").alias("hub"), (F.col("id") < F.col("hub")).alias("up"))
+    pairs = saved(pairs.union(couples.select("id", "other", F.lit(True))).groupBy("id", "hub").agg(F.max("up").alias("up")), "pairs")
     pairs = pairs.select(F.when(F.col("up"), F.col("id")).otherwise(F.col("hub")).alias("id"), F.when(F.col("up"), F.col("hub")).otherwise(F.col("id")).alias("hub"))
     tasks = saved(pairs.groupBy("hub").agg(F.ceil(F.count("*") / FANS).cast("int").alias("salts"), F.count("*").alias("n")), "hubs")
     fans = spread_join(pairs, tasks, "hub").join(held, "id").select("hub", F.pmod(F.xxhash64("id"), F.col("salts")).cast("int").alias("salt"), F.lit(True).alias("fan"), "node", "payload")
@@ -223,8 +229,8 @@ def _block_rows(members: DataFrame, hubs: DataFrame, held: DataFrame, joined: Da
     """bucket, x, y, rest, root and payload: what block x of a bucket's largest component (or,
     below 0, block -1 - x of its rest) and block y of its rest hold."""
     names = held.select("id", "node", F.octet_length("payload").alias("size")).join(joined, "node", "left").select("id", F.coalesce("root", "node").alias("root"), "size")
-    # hubs were tested against all; between two of three members nothing else is left
-    open_ = spread_join(members, hubs.where("n > 3"), "bucket").where("id <> hub and id <> second").select("bucket", "id").join(names, "id")
+    # hubs were tested against all; of three members, two of which are hubs, nothing else is left
+    open_ = spread_join(members, hubs.where("n > 3 or n = 3 and hub = second"), "bucket").where("id <> hub and id <> second").select("bucket", "id").join(names, "id")
     open_ = saved(open_.select("bucket", "id", "root", "size"), "open")
     kinds = open_.groupBy("bucket", "root").agg(F.count("*").alias("n"), F.sum("size").alias("size"))
     mixed = kinds.groupBy("bucket").agg(F.max(F.struct("n", "size", "root")).alias("most"), F.sum("n").alias("n"), F.sum("size").alias("size"), F.count("*").alias("kinds")).where("kinds > 1")
@@ -249,10 +255,11 @@ def _near_components(members: DataFrame, met: DataFrame, payloads: Callable[[Dat
     spark = members.sparkSession
     held = saved(payloads(met.select("id")), "payloads")
     release(spark)
+    couples, members = members.where("other is not null"), members.where("bucket is not null").select("bucket", "id")
     # which of two that meet as many is the hub makes no difference to the result
     hubs = members.join(met, "id").groupBy("bucket").agg(F.max_by("id", "met").alias("hub"), F.min("id").alias("second"), F.count("*").alias("n"))
     hubs = saved(hubs, "tops")
-    links = _hub_links(members, hubs, held, matcher)
+    links = _hub_links(members, hubs, couples, held, matcher)
     joined = connected_components(links)
     left = _block_rows(members, hubs, held, joined).repartition(shuffle_partitions(spark), "bucket", "x", "y").sortWithinPartitions("bucket", "x", "y", "root")
     # what blocks link are components, so only those are joined once more

@@ -33,7 +33,10 @@ SHINGLE, JACCARD, MIN_CHARS = 8, 0.8, 8
 #: Of pairs with a similarity of 0.8, all but 3 in 100,000 share a bucket, of 0.85 all but 4 in 10,000,000.
 BANDS, ROWS = 20, 4
 SLICE_BYTES = 1 << 18
+#: Characters whose hashes stay in a core's cache while all functions go over them.
+PIECE = 1 << 17
 U, U32, BASE32 = np.uint64, np.uint32, 0x9E3779B1
+FUNCTIONS = [(U32(seed * 0x9E3779B1 & 0xFFFFFFFF), U32((seed * 0x85EBCA6B & 0xFFFFFFFF) | 1)) for seed in range(1, 2 * BANDS * ROWS, 2)]
 
 
 def normal(text: str) -> list[tuple[int, str]]:
@@ -58,32 +61,49 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def signatures(lines: list[str]) -> np.ndarray:
-    """BANDS buckets of each line; lines have at least SHINGLE characters."""
+def _windows(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the shingles of lines of at least SHINGLE characters, and where each line's begin."""
     codes = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32)
     size = np.array([len(x) for x in lines])
     ends = np.cumsum(size)
+    h, k, base = _mixed(codes + U32(1)), 1, BASE32
+    while k < SHINGLE:  # windows of twice the length each time
+        h = h[:-k] * U32(base) + h[k:]
+        k, base = 2 * k, base * base & 0xFFFFFFFF
+    h = _mixed(h)
+    inside = np.ones(len(codes), bool)
+    inside[(ends[:, None] - np.arange(1, SHINGLE)).ravel()] = False  # windows that leave their line
+    return h[inside[: len(h)]], np.concatenate([[0], np.cumsum(size - SHINGLE + 1)[:-1]])
+
+
+def _pieces(lines: list[str]) -> Iterator[slice]:
+    """Runs of lines of at most PIECE characters (one line may have more)."""
+    start = held = 0
+    for i, x in enumerate(lines):
+        if i > start and held + len(x) > PIECE:
+            yield slice(start, i)
+            start, held = i, 0
+        held += len(x)
+    yield slice(start, len(lines))
+
+
+def signatures(lines: list[str]) -> np.ndarray:
+    """BANDS buckets of each line; lines have at least SHINGLE characters."""
+    least = np.empty((BANDS * ROWS, len(lines)), np.uint32)
     with np.errstate(over="ignore"):
-        h, k, base = _mixed(codes + U32(1)), 1, BASE32
-        while k < SHINGLE:  # windows of twice the length each time
-            h = h[:-k] * U32(base) + h[k:]
-            k, base = 2 * k, base * base & 0xFFFFFFFF
-        h = _mixed(h)
-        inside = np.ones(len(codes), bool)
-        inside[(ends[:, None] - np.arange(1, SHINGLE)).ravel()] = False  # windows that leave their line
-        h = h[inside[: len(h)]]
-        starts = np.concatenate([[0], np.cumsum(size - SHINGLE + 1)[:-1]])
-        out = np.empty((len(lines), BANDS), np.uint64)
-        v = np.empty_like(h)
-        for band in range(BANDS):
-            bucket = np.full(len(lines), band + 1, np.uint64)
-            for row in range(ROWS):
-                seed = 2 * (band * ROWS + row) + 1
-                np.bitwise_xor(h, U32(seed * 0x9E3779B1 & 0xFFFFFFFF), out=v)
-                v *= U32((seed * 0x85EBCA6B & 0xFFFFFFFF) | 1)
-                bucket = mix(bucket * U(BASE) + np.minimum.reduceat(v, starts))
-            out[:, band] = bucket
-    return out
+        for piece in _pieces(lines):
+            h, starts = _windows(lines[piece])
+            v = np.empty_like(h)
+            for (flip, factor), to in zip(FUNCTIONS, least[:, piece]):
+                np.bitwise_xor(h, flip, out=v)
+                np.multiply(v, factor, out=v)
+                np.minimum.reduceat(v, starts, out=to)
+        # two of 32 bits at a time name a bucket
+        pairs = least.reshape(BANDS, ROWS // 2, 2, -1).astype(np.uint64)
+        bucket = np.arange(1, BANDS + 1, dtype=np.uint64)[:, None]
+        for row in range(ROWS // 2):
+            bucket = mix(bucket * U(BASE) + (pairs[:, row, 0] << U(32) | pairs[:, row, 1]))
+    return np.ascontiguousarray(bucket.T)
 
 
 def shingle_set(payload: bytes) -> tuple[np.ndarray | None, bytes]:
@@ -230,10 +250,11 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 def _dropped_lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     found = shared_buckets(docs.select(text_col), _sketch, repeats=True)
     release(docs.sparkSession)
-    members = found.where("bucket is not null")
+    shared = F.col("bucket").isNotNull() | F.col("other").isNotNull()
+    members = found.where(shared)
     # the filters have a fixed size: where they are full, all lines pass, and joins do their work
     met = met_by_id(members)
-    near, repeated = id_filter(met), id_filter(found.where("bucket is null"))
+    near, repeated = id_filter(met), id_filter(found.where(~shared))
     places = saved(line_places(docs, id_col, text_col, near, repeated), "places")
     first = places.where("not later")
 

@@ -3,7 +3,8 @@
 A corpus has some twenty buckets a text or line, and almost all of them hold one member only. As
 rows these would cost far more than the work on them. So each task packs the (bucket, id) entries
 of many texts into one binary row for every range of buckets, and the task that gets a range sorts
-its entries and gives back the members of buckets that hold several, as plain rows.
+its entries and gives back the members of buckets that hold several, as plain rows; of buckets that
+hold two or three in all, the pairs.
 
 Hot buckets: entries of equal texts are collapsed before the shuffle. A bucket that already has two
 members within a packed run is known to be shared; its members there go to tasks at random, and
@@ -13,6 +14,7 @@ runs, however many members a bucket has.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -30,6 +32,7 @@ BITS = 40
 SINGLE, MARK, MEMBERS, PLACES = 0, 1, 2, 3
 FIELDS = {"part": pa.int32(), "kind": pa.int32(), "low": pa.binary(), "high": pa.binary(), "ids": pa.binary()}
 SCHEMA = "part int, kind int, low binary, high binary, ids binary"
+MEMBER = ["bucket", "id", "met", "other"]
 
 #: Bits of a filter (8 MB).
 FILTER_BITS = 1 << 26
@@ -80,13 +83,14 @@ def packed_run(ids: np.ndarray, bands: np.ndarray, again: np.ndarray | None, par
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(FIELDS.values())], list(FIELDS))
 
 
-def shared_members(parts_of: list[tuple[int, int, bytes, bytes, bytes]]) -> Iterator[tuple[np.ndarray | None, np.ndarray, np.ndarray]]:
-    """bucket, id and met of the members of shared buckets, of the rows of one range or more; ids that
-    come more than once without a bucket. met: how many members the bucket has, as far as seen."""
+def shared_members(parts_of: list[tuple[int, int, bytes, bytes, bytes]]) -> Iterator[tuple[np.ndarray | None, np.ndarray, tuple[np.ndarray, np.ndarray]]]:
+    """bucket, id and (met, whole) of the members of shared buckets, of the rows of one range or more;
+    ids that come more than once without a bucket. met: how many members the bucket has, as far as
+    seen; whole: these are all that it has, one after the other by id."""
     placed = [np.frombuffer(ids, "<i8") for _, kind, _, _, ids in parts_of if kind == PLACES]
     if placed:
         ids, n = np.unique(np.concatenate(placed), return_counts=True)
-        yield None, ids[n > 1], n[n > 1]
+        yield None, ids[n > 1], (n[n > 1], np.zeros(np.count_nonzero(n > 1), bool))
     names, owner, marks = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
     for part, kind, low, high, ids in parts_of:
         if kind == PLACES:
@@ -94,7 +98,7 @@ def shared_members(parts_of: list[tuple[int, int, bytes, bytes, bytes]]) -> Iter
         if kind == MEMBERS:
             names_ = np.frombuffer(low, "<i8")
             _, size = _runs(names_)
-            yield names_, np.frombuffer(ids, "<i8"), np.repeat(size, size)
+            yield names_, np.frombuffer(ids, "<i8"), (np.repeat(size, size), np.zeros(len(names_), bool))
             continue
         name = np.uint64(part << BITS) | np.frombuffer(high, np.uint8).astype(np.uint64) << np.uint64(32) | np.frombuffer(low, "<u4").astype(np.uint64)
         if kind == MARK:
@@ -107,22 +111,32 @@ def shared_members(parts_of: list[tuple[int, int, bytes, bytes, bytes]]) -> Iter
     name, ids = name[order], ids[order]
     start, size = _runs(name)
     if len(start):
-        shared = (np.minimum.reduceat(ids, start) != np.maximum.reduceat(ids, start)) | np.isin(name[start], np.concatenate(marks))
+        marked = np.isin(name[start], np.concatenate(marks))
+        shared = (np.minimum.reduceat(ids, start) != np.maximum.reduceat(ids, start)) | marked
         keep = np.repeat(shared, size)
-        name, ids = name[keep], ids[keep]
+        name, ids, whole = name[keep], ids[keep], np.repeat(~marked, size)[keep]
         order = np.lexsort([ids, name])  # an id of several runs counts once
         name, ids = name[order], ids[order]
         new = np.ones(len(name), bool)
         new[1:] = (name[1:] != name[:-1]) | (ids[1:] != ids[:-1])
-        name, ids = name[new], ids[new]
+        name, ids, whole = name[new], ids[new], whole[new]
         _, size = _runs(name)
-        yield name.view(np.int64), ids, np.repeat(size, size)
+        yield name.view(np.int64), ids, (np.repeat(size, size), whole)
+
+
+def whole_pairs(ids: np.ndarray, met: np.ndarray, whole: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The lower and the higher id of all pairs in whole buckets of two and three, and which rows are
+    of other buckets."""
+    two, three = ids[whole & (met == 2)].reshape(-1, 2), ids[whole & (met == 3)].reshape(-1, 3)
+    ends = [np.concatenate([two[:, i], *(three[:, x[i]] for x in ((0, 1), (0, 2), (1, 2)))]) for i in (0, 1)]
+    return *ends, ~(whole & (met <= 3))
 
 
 def shared_buckets(rows: DataFrame, sketch: Sketch, repeats: bool = False) -> DataFrame:
     """bucket and id (long) of all members of buckets that several ids share; a member that stands in
-    several runs may come more than once. With repeats, also every id that sketch gives more than
-    once, with a null bucket. met is about the number of a bucket's members.
+    several runs may come more than once. Where a bucket has two or three in all, its pairs come
+    instead, as id and other (a higher id) with a null bucket. With repeats, also every id that sketch
+    gives more than once, with neither. met is about the number of a bucket's members.
 
     sketch gives, for a batch of rows, ids (int64), their buckets (uint64, as many for each id)
     and ids that it gives once more, without buckets; equal ids have equal buckets. A task holds
@@ -148,11 +162,19 @@ def shared_buckets(rows: DataFrame, sketch: Sketch, repeats: bool = False) -> Da
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = [row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns))]
-        for buckets, ids, met in shared_members(got):
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(ids), pa.int64()) if buckets is None else pa.array(buckets), pa.array(ids), pa.array(met)], ["bucket", "id", "met"])
+        for buckets, ids, (met, whole) in shared_members(got):
+            none = functools.partial(pa.nulls, type=pa.int64())
+            if buckets is None:
+                yield pa.RecordBatch.from_arrays([none(len(ids)), pa.array(ids), pa.array(met), none(len(ids))], MEMBER)
+                continue
+            low, high, rest = whole_pairs(ids, met, whole)
+            if len(low):
+                yield pa.RecordBatch.from_arrays([none(len(low)), pa.array(low), pa.array(np.full(len(low), 2)), pa.array(high)], MEMBER)
+            if rest.any():
+                yield pa.RecordBatch.from_arrays([*(pa.array(x[rest]) for x in (buckets, ids, met)), none(np.count_nonzero(rest))], MEMBER)
 
     packed = rows.mapInArrow(spread, SCHEMA).repartitionById(parts, F.col("part"))
-    return saved(packed.mapInArrow(gather, "bucket long, id long, met long"), "members")
+    return saved(packed.mapInArrow(gather, "bucket long, id long, met long, other long"), "members")
 
 
 def id_filter(ids: DataFrame) -> bytes:

@@ -1,9 +1,10 @@
 import random
 from collections import defaultdict
 
+import numpy as np
 import pytest
 
-from paperlode.llm import components, lines
+from paperlode.llm import components, lines, packed
 
 
 def shingle_set(x):
@@ -135,3 +136,36 @@ def test_query_equals_dedup(spark, tmp_path):
     spark.createDataFrame([(*x, "q") for x in rows], "doc_id long, text string, n_lines string").write.parquet(f"{tmp_path}/documents.parquet")
     got = {x.doc_id: (x.n_lines, x.n_dropped, x.dropped) for x in lines.op3_line_dedup(spark, str(tmp_path)).collect()}
     assert got == {1: (2, 0, None), 2: (1, 1, "0"), None: (1, 0, None)}
+
+
+def test_two_of_three_are_linked_where_the_first_is_the_only_hub(spark):
+    texts = {1: "nothing that the other two lines have", 2: "a line that stands here with a small change, one", 3: "a line that stands here with a small change, two"}
+    # in bucket 7, 1 is both the one that meets most others and the one of least id
+    members = spark.createDataFrame([(7, 1, 3, None), (7, 2, 3, None), (7, 3, 3, None), (8, 1, 9, None), (8, 4, 9, None)], "bucket long, id long, met long, other long")
+    held = spark.createDataFrame([(i, bytes([i]), bytearray(t.encode())) for i, t in texts.items()], "id long, node binary, payload binary")
+    met = components.met_by_id(members)
+    got = components.near_components(members, met, lambda wanted: held.join(wanted, "id", "left_semi"), lines.MATCHER).collect()
+    assert {bytes(x.node) for x in got} == {b"\x02", b"\x03"} and len({bytes(x.root) for x in got}) == 1
+
+
+def test_small_buckets_come_as_pairs(spark, monkeypatch):
+    buckets = {10: [1, 2], 20: [1, 2, 3], 30: [1, 2, 3, 4], 40: [5]}
+    rows = spark.createDataFrame([(b, i) for b, ids in buckets.items() for i in ids], "bucket long, id long").coalesce(1)
+
+    def sketch(batch):
+        b, i = (c.to_numpy() for c in batch.columns)
+        for k in range(len(b)):  # a run for each entry, so that none is known to be shared within it
+            yield i[k : k + 1], (b[k : k + 1, None].astype(np.uint64) << np.uint64(33)) + np.uint64(1), i[:0]
+
+    monkeypatch.setattr(packed, "RUN", 1)
+    got = packed.shared_buckets(rows, sketch).collect()
+    assert sorted((x.id, x.other) for x in got if x.other is not None) == [(1, 2), (1, 2), (1, 3), (2, 3)]
+    assert sorted(x.id for x in got if x.bucket is not None) == [1, 2, 3, 4]
+
+
+def test_pieces_change_no_bucket(monkeypatch):
+    r = random.Random(3)
+    some = ["".join(r.choice("abcdefgh é日") for _ in range(r.randint(8, 400))) for _ in range(60)]
+    want = lines.signatures(some)
+    monkeypatch.setattr(lines, "PIECE", 300)
+    assert (lines.signatures(some) == want).all() and len(set(map(bytes, want))) == 60
