@@ -126,9 +126,14 @@ class Common:
         self.start = np.append(np.flatnonzero(new), len(values))
 
     def alike(self, k: int) -> np.ndarray:
-        """The others that have enough in common with k, most first."""
+        """The others that can have enough in common with k, most first. Only the rarer half of k's
+        features is counted: those that k and another don't share may all be of that half, no more."""
         codes = self.codes[self.first[k] : self.first[k + 1]]
         start, size = self.start[codes], self.start[codes + 1] - self.start[codes]
+        left_out = len(codes) // 2
+        if left_out:
+            rare = np.argpartition(size, len(codes) - left_out - 1)[: len(codes) - left_out]
+            codes, start, size = codes[rare], start[rare], size[rare]
         total, held = np.cumsum(size), 0
         both = np.zeros(len(self.size), np.int64)
         at = 0
@@ -138,7 +143,7 @@ class Common:
             skip = np.repeat(start[at:end] - (np.cumsum(n) - n), n)
             both += np.bincount(self.owner[skip + np.arange(len(skip))], minlength=len(both))
             at, held = end, int(total[end - 1])
-        found = np.flatnonzero(9 * both >= 4 * (self.size + self.size[k]))
+        found = np.flatnonzero(9 * (both + left_out) >= 4 * (self.size + self.size[k]))
         return found[np.argsort(-both[found], kind="stable")]
 
 

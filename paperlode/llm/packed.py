@@ -59,8 +59,9 @@ def packed_run(ids: np.ndarray, bands: np.ndarray, again: np.ndarray | None, par
     names, owner = names_of(bands[first].ravel(), parts), np.repeat(ids, bands.shape[1])
     order = np.argsort(names)
     names, owner = names[order], owner[order]
-    start, size = _runs(names)
-    alone = np.repeat(size == 1, size)
+    same = np.zeros(len(names) + 1, bool)  # as the one before
+    np.equal(names[1:], names[:-1], out=same[1:-1])
+    alone = ~(same[1:] | same[:-1])
     rows: list[tuple] = []
 
     def ranges(kind: int, names: np.ndarray, owner: np.ndarray | None) -> None:
@@ -70,7 +71,7 @@ def packed_run(ids: np.ndarray, bands: np.ndarray, again: np.ndarray | None, par
             rows.append((int(part[s]), kind, low[s : s + n].tobytes(), high[s : s + n].tobytes(), None if owner is None else owner[s : s + n].tobytes()))
 
     ranges(SINGLE, names[alone], owner[alone])
-    ranges(MARK, names[start[size > 1]], None)
+    ranges(MARK, names[same[1:] & ~same[:-1]], None)
     names, owner = names[~alone].astype("<u8"), owner[~alone]
     for s in range(0, len(names), CHUNK):
         to = int(owner[s].astype(np.uint64) % np.uint64(parts))
@@ -108,13 +109,21 @@ def shared_members(parts_of: list[tuple[int, int, bytes, bytes, bytes]]) -> Iter
             owner.append(np.frombuffer(ids, "<i8"))
     name, ids = np.concatenate(names), np.concatenate(owner)
     order = np.argsort(name)
-    name, ids = name[order], ids[order]
-    start, size = _runs(name)
-    if len(start):
-        marked = np.isin(name[start], np.concatenate(marks))
-        shared = (np.minimum.reduceat(ids, start) != np.maximum.reduceat(ids, start)) | marked
+    name, again = name[order], np.zeros(len(name) + 1, bool)
+    np.equal(name[1:], name[:-1], out=again[1:-1])
+    at = np.unique(np.concatenate(marks))
+    step = np.zeros(len(name) + 1, np.int8)
+    first, end = np.searchsorted(name, at), np.searchsorted(name, at, side="right")
+    step[first[first < end]] += 1
+    step[end[first < end]] -= 1
+    marked = np.cumsum(step[:-1], dtype=np.int8) > 0
+    keep = np.flatnonzero(again[1:] | again[:-1] | marked)  # the others are alone
+    if len(keep):
+        name, ids, marked = name[keep], ids[order[keep]], marked[keep]
+        start, size = _runs(name)
+        shared = (np.minimum.reduceat(ids, start) != np.maximum.reduceat(ids, start)) | marked[start]
         keep = np.repeat(shared, size)
-        name, ids, whole = name[keep], ids[keep], np.repeat(~marked, size)[keep]
+        name, ids, whole = name[keep], ids[keep], ~marked[keep]
         order = np.lexsort([ids, name])  # an id of several runs counts once
         name, ids = name[order], ids[order]
         new = np.ones(len(name), bool)

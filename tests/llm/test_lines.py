@@ -169,3 +169,12 @@ def test_pieces_change_no_bucket(monkeypatch):
     want = lines.signatures(some)
     monkeypatch.setattr(lines, "PIECE", 300)
     assert (lines.signatures(some) == want).all() and len(set(map(bytes, want))) == 60
+
+
+def test_rarer_half_finds_all_near_ones():
+    r = random.Random(12)
+    base = [r.sample(range(400), r.randint(1, 60)) for _ in range(12)]
+    sets = [set(r.sample(b, len(b) - r.randint(0, len(b) // 6))) | set(r.sample(range(400), r.randint(0, 3))) for b in base for _ in range(12)]
+    common = components.Common([np.array(sorted(x), np.uint64) for x in sets])
+    for k, x in enumerate(sets):
+        assert {m for m, y in enumerate(sets) if 5 * len(x & y) >= 4 * len(x | y)} <= set(common.alike(k).tolist())
