@@ -38,28 +38,23 @@ SUPPORT, GENERALISE, REMOVE = 2, 0.5, 0.8
 FILTER_BITS = 1 << 26
 #: How far from an entity its terms may stand: as far as any text goes.
 WINDOW = 2**31 - 1
-#: Matches whose places are summed up in one go; longer lists are worked through in such parts.
-PART = 512
 
 
 def located(text: Column, pattern: str) -> Column:
-    """array of (s, e, m): start, end and string of the pattern's matches in text."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    both = F.zip_with(F.split(text, pattern, -1), found, lambda gap, m: F.struct(F.length(gap).alias("gap"), m.alias("m")))
+    """array of (s, e, m): start, end and string of the pattern's matches in text. Ends are running
+    sums of the lengths of gaps and matches, made in as many passes as their number has binary digits."""
 
-    def place(acc: Column, x: Column) -> Column:
-        s = acc["at"] + x["gap"]
-        e = s + F.length(x["m"])
-        return F.struct(e.alias("at"), F.concat(acc["out"], F.array(F.struct(s.alias("s"), e.alias("e"), x["m"].alias("m")))).alias("out"))
-
-    def part(acc: Column, xs: Column) -> Column:
-        inner = F.aggregate(xs, F.struct(acc["at"].alias("at"), none.alias("out")), place)
-        return F.aggregate(F.array(inner), acc, lambda a, x: F.struct(x["at"].alias("at"), F.concat(a["out"], x["out"]).alias("out")))
+    def places(found: Column) -> Column:
+        n = F.size(found)
+        steps = F.slice(F.zip_with(F.split(text, pattern, -1), found, lambda gap, m: F.length(gap) + F.length(m)), F.lit(1), n)
+        # pass k adds to each sum the one that stands 2**k before it
+        add = lambda v, k: F.slice(F.zip_with(v, F.concat(F.array_repeat(F.lit(0), F.pow(F.lit(2), k).cast("int")), v), lambda x, y: x + y), F.lit(1), n)
+        ends = F.aggregate(F.sequence(F.lit(0), F.length(F.bin(n)) - 1), steps, add)
+        return F.when(n > 0, F.zip_with(ends, found, lambda e, m: F.struct((e - F.length(m)).alias("s"), e.alias("e"), m.alias("m")))).otherwise(none)
 
     none = F.array().cast("array<struct<s:int,e:int,m:string>>")
-    n = F.size(found)
-    parts = F.transform(F.sequence(F.lit(0), F.floor((n - 1) / PART).cast("int")), lambda k: F.slice(F.slice(both, F.lit(1), n), k * PART + 1, F.lit(PART)))
-    return F.when(n > 0, F.aggregate(parts, F.struct(F.lit(0).alias("at"), none.alias("out")), part)["out"]).otherwise(none)
+    # an expression in a lambda is worked out each time it stands there: so matches are bound to a name first
+    return F.transform(F.array(F.regexp_extract_all(text, F.lit(pattern), F.lit(0))), places)[0]
 
 
 def _digits(m: Column) -> Column:

@@ -140,3 +140,16 @@ def test_letters_that_change_length_and_the_query_sanitises(spark, tmp_path):
     assert {x.sanitised for x in pii.sanitise(df).where("doc_id = 0").collect()} == {"  [EMAIL]"}
     df.limit(0).write.parquet(f"{tmp_path}/none/documents.parquet")
     assert pii.op4_pii(spark, f"{tmp_path}/none").count() == 0
+
+
+def test_places_are_made_in_one_search_and_right_for_lists_of_any_length(spark):
+    counts = [0, 1, 2, 3, 4, 5, 7, 8, 9, 63, 64, 65, 511, 512, 513, 1024, 1025, 5000]
+    docs = [(n, "😀 é " + "İab, word 😀" * n + " 9") for n in counts] + [(-1, ""), (-2, None)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    out = df.select("doc_id", pii.located(df.text, r"\p{L}{3,}+").alias("at"))
+    for row in out.collect():
+        text = dict(docs)[row.doc_id] or ""
+        assert [tuple(x) for x in row["at"]] == [(m.start(), m.end(), m[0]) for m in re.finditer(r"[^\W\d_]{3,}", text)]
+    # one search in all: in a lambda over parts of the list, it would be made again for each part
+    plan = out._jdf.queryExecution().analyzed().toString()
+    assert plan.count("regexp_extract_all(") == 1
