@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import slices, table
+from .common import kept, lean, slices, table
 
 NONE = np.iinfo(np.int32).max
 #: Bytes from which a piece is merged with a heap, pieces that a worker remembers, bytes of texts
@@ -192,16 +192,9 @@ class BytePairCoder:
         return b"".join(map(self.token.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-_coders: dict[tuple[int, str], BytePairCoder] = {}
-
-
 def coder(ranks_file: bytes, pattern: str) -> BytePairCoder:
-    """One coder for each vocabulary and Python worker."""
-    key = (hash(ranks_file), pattern)
-    if key not in _coders:
-        _coders.clear()
-        _coders[key] = BytePairCoder(ranks_file, pattern)
-    return _coders[key]
+    """One coder for each vocabulary and Python worker, until that works for other operators."""
+    return kept((hash(ranks_file), pattern), lambda: BytePairCoder(ranks_file, pattern))
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -224,7 +217,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
                 )
                 start += len(part)
 
-    out = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).mapInArrow(run, f"id {kind}, ids binary, decoded binary")
+    out = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).mapInArrow(lean(run, keeps=True), f"id {kind}, ids binary, decoded binary")
     return out.withColumnRenamed("id", id_col)
 
 

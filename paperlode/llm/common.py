@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import threading
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Hashable, Iterator
+from typing import Any
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -13,6 +15,11 @@ from pyspark.sql import functions as F
 from ..sources.tables import new_path, remove
 
 _scopes = threading.local()
+#: What a Python worker keeps from one task for later ones.
+_kept: dict[Hashable, Any] = {}
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+Batches = Iterator[pa.RecordBatch]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,6 +65,46 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def kept(key: Hashable, make: Callable[[], Any]) -> Any:
+    """What make gives, made once for the tasks of a Python worker, until it has a lean task that does
+    not keep."""
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = make()
+    return _kept[key]
+
+
+def _forget() -> None:
+    # by name: a function that Spark sends along would have a copy of _kept
+    _kept.clear()
+
+
+def _give_back() -> None:
+    """Freed memory that Arrow's pool and the C library hold goes back to the system."""
+    pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)
+
+
+def lean(run: Callable[[Batches], Batches], keeps: bool = False) -> Callable[[Batches], Batches]:
+    """run for mapInArrow. Spark's Python workers outlive their tasks and serve all operators: what
+    others have kept in one goes first unless keeps, and after each batch so does freed memory."""
+
+    def lean_run(batches: Batches) -> Batches:
+        def each() -> Batches:
+            for batch in batches:
+                yield batch
+                del batch
+                _give_back()
+
+        if not keeps:
+            _forget()
+        yield from run(each())
+        _give_back()
+
+    return lean_run
+
+
 def text_key(text: Column) -> Column:
     """128-bit key of a text; equal texts have equal keys at any corpus size."""
     return F.unhex(F.md5(text.cast("binary")))

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import distilled, release, saved, shuffle_partitions
+from .common import distilled, lean, release, saved, shuffle_partitions
 
 #: Members and bytes of payloads in a block, rows of two blocks up to which no index is made, members
 #: of a hub that one task tests in one go, and entries of the index that are counted in one go.
@@ -107,7 +107,7 @@ def _starred(stars: DataFrame, matcher: Matcher) -> DataFrame:
             if links:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in zip(*links)], ["a", "b"])
 
-    return stars.select("hub", "salt", "fan", "node", "payload").mapInArrow(run, "a binary, b binary")
+    return stars.select("hub", "salt", "fan", "node", "payload").mapInArrow(lean(run), "a binary, b binary")
 
 
 class Common:
@@ -268,7 +268,7 @@ def _near_components(members: DataFrame, met: DataFrame, payloads: Callable[[Dat
     joined = connected_components(links)
     left = _block_rows(members, hubs, held, joined).repartition(shuffle_partitions(spark), "bucket", "x", "y").sortWithinPartitions("bucket", "x", "y", "root")
     # what blocks link are components, so only those are joined once more
-    top = connected_components(saved(left.mapInArrow(_between_blocks(matcher), "a binary, b binary"), "links"))
+    top = connected_components(saved(left.mapInArrow(lean(_between_blocks(matcher)), "a binary, b binary"), "links"))
     top = top.select(F.col("node").alias("root"), F.col("root").alias("top"))
     alone = top.join(joined.select(F.col("node").alias("root")), "root", "left_anti").select(F.col("root").alias("node"), F.col("top").alias("root"))
     return joined.join(top, "root", "left").select("node", F.coalesce("top", "root").alias("root")).union(alone)

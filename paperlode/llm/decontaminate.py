@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import free_name, saved, slices, table, text_key
+from .common import free_name, lean, saved, slices, table, text_key
 from .words import lowered_words, windows
 
 SEED, COVERAGE = 5, 0.8
@@ -236,7 +236,7 @@ def _leaks_of(docs: DataFrame, block: list[tuple[int, str]], shortest: int, text
                 columns[into] = pa.array(found, rows.column(into).type)
                 yield pa.RecordBatch.from_arrays(columns, names)
 
-    return docs.mapInArrow(run, kind)
+    return docs.mapInArrow(lean(run), kind)
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", column: str = "leaks", shortest: int = 1) -> DataFrame:

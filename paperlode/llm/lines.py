@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import distilled, free_name, release, saved, slices, table
+from .common import distilled, free_name, lean, release, saved, slices, table
 from .components import Matcher, met_by_id, near_components
 from .packed import FILTER_BITS, id_filter, shared_buckets
 from .words import BASE, mix
@@ -235,7 +235,7 @@ def line_places(docs: DataFrame, id_col: str, text_col: str, near: bytes, repeat
                 yield pa.RecordBatch.from_arrays([ids.take(pa.array(at, pa.int64())), *columns], ["id", *fields])
 
     rows = docs.select(F.col(id_col).alias("id"), document_key(id_col, text_col).alias("doc"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, f"id {kind.simpleString()}, doc binary, line int, node binary, payload binary, later boolean")
+    return rows.mapInArrow(lean(run), f"id {kind.simpleString()}, doc binary, line int, node binary, payload binary, later boolean")
 
 
 #: The id of a node in Spark, as _ids gives it.

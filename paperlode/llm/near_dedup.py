@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import distilled, free_name, saved, slices, table, text_key
+from .common import distilled, free_name, lean, saved, slices, table, text_key
 from .components import Matcher, met_by_id, near_components
 from .packed import shared_buckets
 from .words import BASE, lowered_words, mix, windows
@@ -203,7 +203,7 @@ def _classes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         # one row of each text: that of least id, so that copies don't meet in one task
         reps = nodes.select(short, "node", "least").join(wanted, "id", "left_semi").select(F.col("node").alias("key"), "least")
         rows = texts.join(reps, (texts.node == reps.key) & texts.doc.eqNullSafe(reps.least)).select(short, "node", "text")
-        return rows.mapInArrow(_codes, "id long, node binary, payload binary").dropDuplicates(["node"])
+        return rows.mapInArrow(lean(_codes), "id long, node binary, payload binary").dropDuplicates(["node"])
 
     members = shared_buckets(texts.select(short, "text"), _sketch)
     roots = near_components(members, met_by_id(members), payloads, MATCHER)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved, shuffle_partitions
+from .common import lean, saved, shuffle_partitions
 
 #: Entries of a packed run (13 bytes each), and members of a row that goes to a task at random.
 RUN, CHUNK = 1 << 20, 1 << 16
@@ -182,8 +182,8 @@ def shared_buckets(rows: DataFrame, sketch: Sketch, repeats: bool = False) -> Da
             if rest.any():
                 yield pa.RecordBatch.from_arrays([*(pa.array(x[rest]) for x in (buckets, ids, met)), none(np.count_nonzero(rest))], MEMBER)
 
-    packed = rows.mapInArrow(spread, SCHEMA).repartitionById(parts, F.col("part"))
-    return saved(packed.mapInArrow(gather, "bucket long, id long, met long, other long"), "members")
+    packed = rows.mapInArrow(lean(spread), SCHEMA).repartitionById(parts, F.col("part"))
+    return saved(packed.mapInArrow(lean(gather), "bucket long, id long, met long, other long"), "members")
 
 
 def id_filter(ids: DataFrame) -> bytes:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import slices, table
+from .common import lean, slices, table
 from .words import NOT_SPACE, buffers, run_hashes, spans
 
 STATS = ["n_bytes", "n_words", "word_bytes", "upper", "digits", "symbols", "bars", "bangs", "stops", "line_bytes", "distinct", "doubled", "top_word"]
@@ -93,7 +93,7 @@ def text_statistics(docs: DataFrame, text_col: str = "text", keep: tuple[str, ..
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *(pa.array(got[:, i].copy()) for i in range(len(STATS)))], [*keep, *STATS])
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), *(f"{s} double" for s in STATS)])
-    return docs.select(*(F.col(f"`{c}`") for c in names)).mapInArrow(run, schema)
+    return docs.select(*(F.col(f"`{c}`") for c in names)).mapInArrow(lean(run), schema)
 
 
 @dataclass

@@ -1,6 +1,14 @@
+import base64
+import gc
 import random
+import weakref
+
+import public_tokenizers
+import pyarrow as pa
+from pyspark import cloudpickle
 
 import corpus_pipeline
+from paperlode.llm import bpe, common
 from paperlode.llm.common import table
 
 
@@ -34,3 +42,44 @@ def test_empty_tables(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_workers_hold_no_memory_of_other_stages(spark, tmp_path, monkeypatch):
+    r = random.Random(13)
+    text = lambda: "\n".join(" ".join(r.choice(["red", "green", "blue", "black"]) + str(r.randint(0, 999)) for _ in range(12)) for _ in range(3))
+    one = text()
+    docs = [(i, one + f" {i}" if i < 6 else text(), "en", "s", 9) for i in range(12)]
+    docs = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long")
+    spark.createDataFrame([(i, 1, 0) for i in range(12)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, text())], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    sent, plain = [], type(docs).mapInArrow
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, run, *a, **k: sent.append(run) or plain(self, run, *a, **k))
+    returned = []
+    monkeypatch.setattr("paperlode.llm.common._give_back", lambda: returned.append(True), raising=False)
+    with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f:
+        ranks = b"\n".join(f.read().splitlines()[:300])
+    for name, stage in corpus_pipeline.STAGES:
+        sent.clear()
+        stage(spark, docs, str(tmp_path))
+        assert sent, name
+        if name != "tokens":
+            for run in sent:  # as a worker does that had a task of the last stage before
+                coder = weakref.ref(bpe.coder(ranks, public_tokenizers.PATTERN))
+                returned.clear()
+                assert not list(run(iter([])))
+                gc.collect()
+                assert coder() is None and returned, (name, run)
+    one = pa.RecordBatch.from_pydict({"id": [1], "text": ["a b"]})
+    returned.clear()
+    assert len(list(sent[0](iter([one, one])))) == 2 and len(returned) == 3
+
+
+def test_what_a_worker_keeps_goes_with_a_function_that_was_sent():
+    sent = lambda **k: cloudpickle.loads(cloudpickle.dumps(common.lean(lambda batches: batches, **k)))
+    ranks = b"\n".join(b"%s %d" % (base64.b64encode(bytes([i])), i) for i in range(256))
+    coder = weakref.ref(bpe.coder(ranks, public_tokenizers.PATTERN))
+    assert list(sent(keeps=True)(iter([]))) == []
+    assert coder() is bpe.coder(ranks, public_tokenizers.PATTERN)
+    assert list(sent()(iter([]))) == []
+    gc.collect()
+    assert coder() is None
