@@ -5,7 +5,8 @@ from __future__ import annotations
 import json
 import os
 import re
-from collections.abc import Iterable
+from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -88,19 +89,55 @@ def validate_manifest(m: dict) -> None:
         raise InvalidManifest("sha256 must be 64 hexadecimal characters")
 
 
-def check_files(spark: SparkSession, expected: DataFrame, paths: Iterable[str]) -> DataFrame:
+#: Files of more bytes than this are hashed as a stream, by the driver: a row would hold all of their content.
+STREAMED = 256 << 20
+
+
+def _found(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """name, file, length and content of every file at or below paths; name is the end of the one of paths."""
+    read = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    parts = [read.load(p).select(F.lit(p.rstrip("/").rpartition("/")[2]).alias("name"), F.col("path").alias("file"), "length", "content") for p in paths]
+    return reduce(DataFrame.union, parts)
+
+
+def _streamed(spark: SparkSession, path: str) -> str:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = p.getFileSystem(spark._jsc.hadoopConfiguration()).open(p)
+    try:
+        return spark._jvm.org.apache.commons.codec.digest.DigestUtils.sha256Hex(stream)
+    finally:
+        stream.close()
+
+
+def digests(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """path, byte_size and sha256 of files and folders. path is the end of the given one. A folder has the
+    size of all its files, and the hash of their names and hashes in order of name."""
+    found = _found(spark, paths)
+    long = [(*r, _streamed(spark, r.file)) for r in found.where(F.col("length") > STREAMED).select("name", "file", "length").collect()]
+    files = found.where(F.col("length") <= STREAMED).select("name", "file", "length", F.sha2("content", 256).alias("sha256"))
+    if long:
+        files = files.union(spark.createDataFrame(long, files.schema))
+    whole = F.endswith("file", F.concat(F.lit("/"), "name"))
+    inner = F.call_function("substring_index", F.col("file"), F.concat(F.lit("/"), "name", F.lit("/")), F.lit(-1))
+    rows = files.groupBy("name").agg(
+        F.sum("length").alias("byte_size"), (F.bool_and(whole) & (F.count("*") == 1)).alias("one"), F.min("sha256").alias("own"), F.sort_array(F.collect_list(F.struct(inner.alias("file"), "sha256"))).alias("all")
+    )
+    listed = F.array_join(F.transform("all", lambda x: F.concat(x["file"], F.lit(":"), x["sha256"])), "\n")
+    return rows.select(F.col("name").alias("path"), "byte_size", F.when(F.col("one"), F.col("own")).otherwise(F.sha2(listed, 256)).alias("sha256"))
+
+
+def check_files(spark: SparkSession, expected: DataFrame, paths: Sequence[str]) -> DataFrame:
     """expected (path, byte_size, sha256) with actual_size, actual_sha256 and status.
 
-    Status: ok, missing, size_mismatch or checksum_mismatch. path is the end of a file's path. Only
-    files of the right size are read and hashed.
+    Status: ok, missing, size_mismatch or checksum_mismatch. path is the end of a file's or folder's
+    path (see digests). Only those of the right size are read and hashed.
     """
-    files = spark.read.format("binaryFile").load(list(paths))
-    name = F.element_at(F.split("path", "/"), -1)
-    sizes = files.select(name.alias("path"), F.col("length").alias("actual_size"))
+    sizes = _found(spark, paths).groupBy(F.col("name").alias("path")).agg(F.sum("length").alias("actual_size"))
     rows = expected.join(sizes, "path", "left")
-    same = rows.where("actual_size = byte_size").select("path").distinct()
-    hashes = files.select(name.alias("path"), "content").join(F.broadcast(same), "path", "left_semi")
-    hashes = hashes.select("path", F.sha2("content", 256).alias("actual_sha256"))
+    same = {r.path for r in rows.where("actual_size = byte_size").select("path").distinct().collect()}
+    read = [p for p in paths if p.rstrip("/").rpartition("/")[2] in same]
+    hashes = digests(spark, read) if read else spark.createDataFrame([], "path string, byte_size long, sha256 string")
+    hashes = hashes.select("path", F.col("sha256").alias("actual_sha256"))
     status = (
         F.when(F.col("actual_size").isNull(), "missing")
         .when(F.col("actual_size") != F.col("byte_size"), "size_mismatch")

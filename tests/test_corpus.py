@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from paperlode import cli
 from paperlode.errors import ChecksumMismatch, CorpusError, InvalidConfig, InvalidExtraction, InvalidManifest, JsonError, ReadError, SizeMismatch
+from paperlode.plans import queries
 from paperlode.plans.corpus import Engine, generated_at
 from paperlode.sources import artifacts, config
 from paperlode.sources.bbox import parse_bbox_layout
@@ -147,6 +148,27 @@ def test_manifest_faults(spark, repo):
         config.verify_sources(spark, str(root), [manifest(local_path="no.pdf")])
 
 
+def test_tables_in_folders_are_verified_as_one(spark, tmp_path, monkeypatch):
+    for name in queries.TABLES:
+        if name in ("lineitem", "nation", "supplier"):
+            (tmp_path / f"{name}.parquet").mkdir()
+            for i in range(3):
+                (tmp_path / f"{name}.parquet/part-{i}.parquet").write_bytes(b"x" * i + name.encode())
+        else:
+            (tmp_path / f"{name}.parquet").write_bytes(name.encode())
+    want = {f"{n}.parquet": "ok" for n in queries.TABLES} | {"nation.parquet": "size_mismatch", "supplier.parquet": "checksum_mismatch", "lost.parquet": "missing"}
+    paths = [f"{tmp_path}/{n}.parquet" for n in queries.TABLES]
+    once = sorted(config.digests(spark, paths).collect())
+    assert [r.sha256 for r in once if r.path == "orders.parquet"] == [hashlib.sha256(b"orders").hexdigest()]
+    for limit in (config.STREAMED, 6):  # files over the limit are hashed as streams, to the same
+        monkeypatch.setattr(config, "STREAMED", limit)
+        rows = queries.q_source_verification(spark, str(tmp_path)).collect()
+        assert sorted((r.path, r.status) for r in rows) == sorted(want.items())
+        assert sorted(config.digests(spark, paths).collect()) == once
+    (tmp_path / "lineitem.parquet/part-1.parquet").write_bytes(b"ylineitem")
+    assert sorted(config.digests(spark, paths).collect()) != once
+
+
 def boxes(spark, x):
     return spark.createDataFrame([(x,)], "x string").select(parse_bbox_layout(F.col("x")).alias("p")).first().p
 
