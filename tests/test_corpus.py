@@ -182,6 +182,18 @@ def test_boxes(spark):
             boxes(spark, bad)
 
 
+def test_boxes_are_parsed_once_and_whole(spark):
+    word = lambda t: f"<word {BOX}>{t}</word>"
+    doc = f'<doc><page width="1" height="2"><block {BOX}><line {BOX}>{word("a<!-- x -->c")}{word("a<i>b</i>c")}{word(" ")}{word("")}{word(" d ")}</line><line {BOX}/></block><flow><block {BOX}/></flow><flow/></page></doc>'
+    (page,) = boxes(spark, doc)
+    assert [[[w.text for w in x.words] for x in b.lines] for b in page.blocks] == [[], [["ac", "ac", "", "", " d "], []]]
+    df = spark.createDataFrame([(xhtml("a b"),), (doc,)] * 3, "x string").coalesce(1).select(F.posexplode(parse_bbox_layout(F.col("x"))))
+    assert df.count() == 6 and "from_xml" not in df._jdf.queryExecution().toString()
+    for wrong in ("<html", None):
+        with pytest.raises(Exception, match="invalid extraction output"):
+            boxes(spark, wrong)
+
+
 def test_writers_and_digest(spark, tmp_path):
     df = spark.createDataFrame([(2, None, 1.5), (1, "é", 595.0)], "a long, b string, c float")
     for name in ("x", "y"):
