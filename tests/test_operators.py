@@ -1,13 +1,15 @@
+import random
 import re
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
-from paperlode.functions import patterns
+from paperlode.functions import patterns, text
 from paperlode.operators import comparison, doses, headings, pages, report, review
 from paperlode.plans import queries
 from paperlode.schemas import CANDIDATE_FIELDS, REVIEW, allows_composed_action
+from paperlode.sources import tables
 from paperlode.streaming import pages as stream
 
 
@@ -167,6 +169,34 @@ def test_stream(spark, tmp_path):
     assert sorted(r.physical_page for r in spark.table("dose").collect()) == [1, 2]
 
 
+def test_signals_of_a_page_are_found_once(spark):
+    plan = doses.detect_dose_like_pages(records(spark, DOSING))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("regexp_extract_all(") == 2 * len(patterns.SIGNALS)  # those for ASCII texts, and the others
+
+
+def test_ascii_texts_have_the_tokens_and_signals_of_others(spark):
+    parts = ["5", "12.5.3", " ", "\n", "\t", "-", "/", "%", "mg", "G", "ml", "IU", "stat", "hourly", "for 5 days", "AGE", "weight", "Years", "oral", "im", "sc", "x", "_", "NOT", "abc"]
+    rng = random.Random(5)
+    texts = [(i, "".join(rng.choices(parts, k=rng.randint(0, 20)))) for i in range(3000)]
+    df = spark.createDataFrame(texts, "i long, t string").select("i", "t", doses.signals(F.col("t")).alias("s"), text.protected_words(F.upper("t")).alias("w"), text.protected_tokens(F.upper("t")).alias("p"))
+    for r in df.collect():
+        want = [(c, m, i) for i, x in enumerate(r.t.removesuffix("\n").split("\n") if r.t else []) for c, p in patterns.SIGNALS.items() for m in re.findall(p.replace("(?iUd)", "(?i)"), x)]
+        assert [(s.category, s.exact_text, s.line_index) for s in r.s] == want, r.t
+        assert r.w == [x.normalized for x in r.p], r.t
+
+
+def test_larger_tables_are_dealt_to_more_tasks(spark, monkeypatch):
+    """The number of tasks goes with the input; results don't depend on it."""
+    folder = "/root/testdata/sf0.001"
+    jobs = {q: lambda q=q: queries.QUERIES[q](spark, folder) for q in ("lines", "dose_candidates", "hierarchy_regressions")}
+    few = {q: sorted(map(str, job().collect())) for q, job in jobs.items()}
+    monkeypatch.setattr(tables, "TASK_BYTES", 10_000)
+    for q, job in jobs.items():
+        df = job()
+        assert sorted(map(str, df.collect())) == few[q]
+        assert "REPARTITION_BY_NUM" in df._jdf.queryExecution().executedPlan().toString(), q
+
+
 def test_document_signals_of_all_texts_equal_brute_force(spark, tmp_path):
     texts = ["give 5 mg oral", "é5 mg, 5 mgé; 3–5 años", "Für 3–5 years: ٥ ml IM, stat.", "5 mg/10 kg\nweight 3 - 4 Kg très oral", "日本語 10 mg IV", "crème", "", None]
     spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
