@@ -190,10 +190,11 @@ def test_larger_tables_are_dealt_to_more_tasks(spark, monkeypatch):
     folder = "/root/testdata/sf0.001"
     jobs = {q: lambda q=q: queries.QUERIES[q](spark, folder) for q in ("lines", "dose_candidates", "hierarchy_regressions")}
     few = {q: sorted(map(str, job().collect())) for q, job in jobs.items()}
-    monkeypatch.setattr(tables, "TASK_BYTES", 10_000)
+    monkeypatch.setattr(tables, "TASK_BYTES", 5_000)  # fewer than part has, too
     for q, job in jobs.items():
         df = job()
         assert sorted(map(str, df.collect())) == few[q]
+        assert "hashpartitioning(l_partkey" in df._jdf.queryExecution().toString() or q != "lines"
         assert "REPARTITION_BY_NUM" in df._jdf.queryExecution().executedPlan().toString(), q
 
 
